@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +30,26 @@ def get_session(app: str = "driftscan", master: str | None = None, **conf) -> Sp
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's sources to the executors, once for each application, so that Python workers can import it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    here = Path(__file__).resolve().parent
+    to = Path(tempfile.mkdtemp(prefix="driftscan-")) / "driftscan.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f"driftscan/{f.relative_to(here)}")
+    spark.sparkContext.addPyFile(str(to))
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One table of a data folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
