@@ -10,6 +10,7 @@ of `merge_partitions` partitions at a time: bounded work for any input size.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,62 +25,127 @@ PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_toke
 _TYPES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("leftover", pa.int64())])
 
 
+#: Marks that the vocabulary's pre-tokenizer cuts off after a letter or digit; the apostrophe is not one of them.
+_TAIL = b".,;:!?%&$#*|"
+
+
 class WordIds(dict):
     """Ids of a white-space-free word, computed once while it stays in a table of bounded size.
 
-    The vocabulary's pre-tokenizer never joins text over white space, so a text's
-    ids are those of its words in order. Words are numbered; `flat` and `ends`
-    hold the ids of word k in flat[ends[k]:ends[k+1]].
+    The vocabulary lower-cases and its pre-tokenizer never joins text over white
+    space, nor a letter with a mark after it, so a text's ids are those of its
+    words in order, and a word's are those of its stem and its closing marks.
+    Words are numbered as they come; flat[ends[k]:ends[k+1]] are the ids of word k.
     """
 
-    def __init__(self, path: str, cap: int = 300_000):
+    def __init__(self, path: str, cap: int = 1_000_000):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.cap = Tokenizer.from_file(path), cap
+        self.closing = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.closing[[k for x, k in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.n_flat, self.flat, self.ends, self.n = 0, np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
-
-    def learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
-            for word, code in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                ids = code.ids
-                while self.n_flat + len(ids) > self.flat.size:
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                if self.n + 2 > self.ends.size:
-                    self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-                self.flat[self.n_flat : self.n_flat + len(ids)] = ids
-                self.n_flat += len(ids)
-                self[word] = self.n
-                self.n += 1
-                self.ends[self.n] = self.n_flat
-
-    def encode(self, text: str, block: int = 200_000) -> np.ndarray:
+        self.new, self.n_flat, self.flat, self.ends = [], 0, np.zeros(1 << 20, np.uint32), np.zeros(1, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = k = len(self)
+        self.new.append(word)
+        return k
+
+    def _simple(self, words: list[str]) -> list[np.ndarray]:
+        """Of words of letters only: each ends with the one id that closes a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        out = np.split(ids, np.flatnonzero(self.closing[ids])[:-1] + 1)
+        if len(out) != len(words):
+            return self._any(words)
+        return out
+
+    def _any(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def learn(self) -> None:
+        """Fills in the ids of all words met since the last call."""
+        words, self.new = self.new, []
+        stems, tails = [], []
+        for word in words:
+            stem = word.rstrip(_TAIL)
+            if not stem or not stem[-1:].isalnum():
+                stem = word
+            stems.append(stem)
+            tails.append(word[len(stem) :])
+        todo = list({*stems, *filter(None, tails)})
+        text = [x.decode() for x in todo]
+        kind = [x.isalpha() and x.isascii() for x in text]
+        found: dict[bytes, np.ndarray] = {}
+        for how, want in ((self._simple, True), (self._any, False)):
+            some = [k for k, x in enumerate(kind) if x is want]
+            for at in range(0, len(some), 2048):
+                part = some[at : at + 2048]
+                found.update(zip((todo[k] for k in part), how([text[k] for k in part]), strict=True))
+        parts, sizes = [], np.empty(len(words), np.int64)
+        for i, (stem, tail) in enumerate(zip(stems, tails, strict=True)):
+            x = found[stem]
+            parts.append(x)
+            sizes[i] = len(x)
+            if tail:
+                parts.append(found[tail])
+                sizes[i] += len(found[tail])
+        flat = np.concatenate(parts)
+        while self.n_flat + len(flat) > self.flat.size:
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.n_flat : self.n_flat + len(flat)] = flat
+        self.ends = np.concatenate([self.ends, self.n_flat + np.cumsum(sizes)])
+        self.n_flat += len(flat)
+
+    def encode(self, text: bytes, block: int = 200_000) -> np.ndarray:
         """All ids of the whole text, word blocks at a time."""
-        words, out = text.split(), []
-        for at in range(0, len(words), block):
-            some = words[at : at + block]
-            if self.n > self.cap:
-                self.reset()
-            new = set(some).difference(self)
-            if new:
-                self.learn(sorted(new))
-            k = np.fromiter(map(self.__getitem__, some), np.int64, len(some))
-            begin, size = self.ends[k], self.ends[k + 1] - self.ends[k]
-            stop = np.cumsum(size)
-            out.append(self.flat[np.arange(stop[-1]) + np.repeat(begin - stop + size, size)])
-        return np.concatenate(out) if out else np.zeros(0, np.uint32)
+        return self.encode_all([text], block)[0]
+
+    def encode_all(self, texts: list[bytes], block: int = 200_000) -> list[np.ndarray]:
+        """Ids of each text; a text of more than `block` words is taken in blocks."""
+        if len(self) > self.cap:
+            self.reset()
+        numbers = []
+        for text in texts:
+            words = text.lower().split()
+            numbers.append([np.fromiter(map(self.__getitem__, words[at : at + block]), np.int64, len(words[at : at + block])) for at in range(0, len(words), block)])
+        if self.new:
+            self.learn()
+        out = []
+        for blocks in numbers:
+            ids = []
+            for k in blocks:
+                begin = self.ends[k]
+                size = self.ends[k + 1] - begin
+                stop = np.cumsum(size)
+                ids.append(self.flat[np.arange(stop[-1]) + np.repeat(begin - stop + size, size)])
+            out.append(np.concatenate(ids) if ids else np.zeros(0, np.uint32))
+        return out
 
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
     return WordIds(path)
 
 
+def encoded(words: WordIds, batch: pa.RecordBatch, block_bytes: int = 4_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Document and ids of each row, a few megabytes of text at a time."""
+    docs, texts, held = [], [], 0
+    for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+        docs.append(doc.as_py())
+        texts.append(text.as_py() or b"")
+        held += len(texts[-1])
+        if held >= block_bytes:
+            yield from zip(docs, words.encode_all(texts), strict=True)
+            docs, texts, held = [], [], 0
+    yield from zip(docs, words.encode_all(texts), strict=True)
+
+
 class Window:
     __slots__ = ("pieces", "used")
 
@@ -154,9 +220,9 @@ def pack(documents: DataFrame, tokenizer: str, size: int = 2048, open_windows: i
 
         packer = Packer(size, open_windows, min_piece, emit)
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.append(words.encode(text.as_py() or ""), np.uint32(end_id))
-                packer.place(doc.as_py(), 0, ids, len(ids))
+            for doc, ids in encoded(words, batch):
+                ids = np.append(ids, np.uint32(end_id))
+                packer.place(doc, 0, ids, len(ids))
                 if len(out) >= 2000:
                     yield _table(out)
                     out = []
@@ -210,6 +276,6 @@ def pack(documents: DataFrame, tokenizer: str, size: int = 2048, open_windows: i
                 emit(now)
         return pa.Table.from_batches([_table(rows)])
 
-    pieces = materialize(documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, PIECE_SCHEMA), "pieces")
+    pieces = materialize(documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(run, PIECE_SCHEMA), "pieces")
     merged = pieces.filter("leftover is not null").groupBy("leftover").applyInArrow(merge, PIECE_SCHEMA)
     return pieces.filter("leftover is null").unionByName(merged).drop("leftover")

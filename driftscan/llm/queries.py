@@ -31,3 +31,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pieces = pack(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm import langid
+
+    documents = load(spark, sf_dir, "documents")
+    found = langid.identify(documents, langid.train(documents))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
