@@ -40,3 +40,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents")
     found = langid.identify(documents, langid.train(documents))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm.neardup import near_duplicates
+
+    return near_duplicates(load(spark, sf_dir, "documents"), percent=85)
