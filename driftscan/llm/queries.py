@@ -84,3 +84,32 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(12 + length(replace(escaped_role, chr(10), '\n')) + 1 + length(escaped) + 11) AS BIGINT) AS formatted_chars
 FROM parts GROUP BY conv_id
 """
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm import secrets
+
+    found = secrets.find_secrets(load(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(secrets.BASE)]
+    return found.select("doc_id", *counts, F.sha2(secrets.spell("base"), 256).alias("base_sha256"), secrets.spell("spans").alias("spans"))
+
+
+@query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm import fingerprint
+
+    pairs = fingerprint.edited_pairs(load(spark, sf_dir, "documents"))
+    return pairs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprint.spell("sketch").alias("fingerprint"),
+        fingerprint.spell("edited_sketch").alias("edited_fingerprint"),
+        fingerprint.containment("sketch", "edited_sketch").alias("near_edited"),
+        fingerprint.containment("sketch", "next_sketch").alias("near_next"),
+    )
