@@ -113,3 +113,39 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprint.containment("sketch", "edited_sketch").alias("near_edited"),
         fingerprint.containment("sketch", "next_sketch").alias("near_next"),
     )
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm.licenses import scan_licenses
+
+    return scan_licenses(load(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    from driftscan.llm import licenses
+
+    return licenses.oracle_sql()
+
+
+ORACLES["op8_license_scan"] = _license_sql()
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm import quality
+
+    found = quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+    return found.select("doc_id", "host", "path", *(F.round(f"{t}_{x}", 6).alias(f"{t}_{x}") for t in ("quality", "toxic") for x in ("odds", "host", "path", "score")), "kept")
+
+
+#: Shares of the tokens that the mixture is to have, by domain.
+MIXTURE = {"good": 0.9, "good_toxic": 0.02, "low": 0.08, "low_toxic": 0.0}
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm import mixing
+
+    rated, _ = mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), weights=MIXTURE)
+    return rated.select("doc_id", "tokens", *(F.round(F.col("p")[k], 9).alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)), F.round("rate", 6).alias("rate"))
