@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from driftscan.plans import reports
+
+QUERIES: dict = dict(reports.QUERIES)
+ORACLES: dict = dict(reports.ORACLES)
