@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UND = "und"
 
@@ -237,42 +238,40 @@ class Scorer:
         return out
 
 
-def identify(documents: DataFrame, net: ByteGRU | None, block_bytes: int = 2_000_000) -> DataFrame:
-    """doc_id, lang_pred, score for every row of documents.
+def identify(documents: DataFrame, net: ByteGRU | None, keep: list[str] | None = None, block_bytes: int = 2_000_000) -> DataFrame:
+    """row (a struct of the columns in keep, by default all), lang_pred and score for every row of documents.
 
     A text that is null or has no letter, and every text where no language was
     learned, is `und` with score 0. Null ids stay null, repeated rows give
-    repeated results, other columns are not read.
+    repeated results; other columns, whatever their names, pass in the struct.
     """
-    names = ["doc_id", "lang_pred", "score"]
+    carried = documents.select(F.struct(*(keep or documents.columns)).alias("row"), F.col("text").cast("binary").alias("text"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net) if net else None
 
-        def flush(ids, texts):
-            clear = [not any(map(str.isalpha, x.decode())) if x else True for x in texts]
+        def flush(rows: pa.Array, texts: list) -> pa.RecordBatch:
+            clear = [x is None or not any(map(str.isalpha, x.decode())) for x in texts]
             if scorer:
                 p = scorer.probabilities([b"" if c else x for x, c in zip(texts, clear, strict=True)])
                 best = p.argmax(axis=1)
                 langs = [UND if c else net.langs[k] for c, k in zip(clear, best, strict=True)]
                 scores = [0.0 if c else round(float(min(1.0, p[i, k])), 6) for i, (c, k) in enumerate(zip(clear, best, strict=True))]
             else:
-                langs, scores = [UND] * len(ids), [0.0] * len(ids)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names)
+                langs, scores = [UND] * len(texts), [0.0] * len(texts)
+            return pa.RecordBatch.from_arrays([rows, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
 
         for batch in batches:
-            ids, texts, held = [], [], 0
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids.append(doc.as_py())
+            first, texts, held = 0, [], 0
+            for k, text in enumerate(batch.column(1)):
                 texts.append(text.as_py())
                 held += len(texts[-1] or b"")
-                if held >= block_bytes:
-                    yield flush(ids, texts)
-                    ids, texts, held = [], [], 0
-            if ids:
-                yield flush(ids, texts)
+                if held >= block_bytes or k == batch.num_rows - 1:
+                    yield flush(batch.column(0)[first : k + 1], texts)
+                    first, texts, held = k + 1, [], 0
 
-    return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary")).mapInArrow(run, "doc_id bigint, lang_pred string, score double")
+    out = T.StructType([carried.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return carried.mapInArrow(run, out)
 
 
 def train(documents: DataFrame, max_docs: int = 2400, **options) -> ByteGRU | None:

@@ -19,13 +19,17 @@ from driftscan.session import materialize
 DOMAINS = ("good", "good_toxic", "low", "low_toxic")
 
 
-def domain_posteriors(documents: DataFrame, labels: DataFrame, max_labelled: int = 8000) -> DataFrame:
-    """doc_id, tokens (words) and p: posteriors of DOMAINS, in that order, for every row of documents."""
-    models = evidence.fit(materialize(evidence.labelled_sample(documents, labels, max_labelled), "sample"), ("quality", "toxic"))
-    marked = evidence.words_and_marks(documents.select("doc_id", "text"))
-    odds = marked.select("doc_id", F.col("n_words").alias("tokens"), *(evidence.sigmoid(evidence.log_odds(m)).alias(t) for t, m in models.items()))
+def fit_domains(documents: DataFrame, labels: DataFrame, max_labelled: int = 8000) -> dict[str, evidence.NaiveBayes]:
+    """The models behind the posteriors, from at most about max_labelled labelled documents."""
+    return evidence.fit(materialize(evidence.labelled_sample(documents, labels, max_labelled), "sample"), ("quality", "toxic"))
+
+
+def domain_posteriors(documents: DataFrame, models: dict[str, evidence.NaiveBayes], keep: list[str] | None = None) -> DataFrame:
+    """row (a struct of the columns in keep, by default all), tokens (words) and p: posteriors of DOMAINS, in that order."""
+    marked = evidence.words_and_marks(documents.select(F.struct(*(keep or documents.columns)).alias("row"), "text"))
+    odds = marked.select("row", F.col("n_words").alias("tokens"), *(evidence.sigmoid(evidence.log_odds(m)).alias(t) for t, m in models.items()))
     q, t = F.col("quality"), F.col("toxic")
-    return odds.select("doc_id", "tokens", F.array(q * (1 - t), q * t, (1 - q) * (1 - t), (1 - q) * t).alias("p"))
+    return odds.select("row", "tokens", F.array(q * (1 - t), q * t, (1 - q) * (1 - t), (1 - q) * t).alias("p"))
 
 
 def rate_after(steps: list[list[float]]) -> Column:
@@ -41,12 +45,12 @@ def rate_after(steps: list[list[float]]) -> Column:
     return F.aggregate(table, rate, step)
 
 
-def fit_rates(posteriors: DataFrame, targets: list[float], most_steps: int = 40, tolerance: float = 1e-3) -> tuple[DataFrame, dict]:
-    """posteriors (tokens, p) with column rate, and a report of totals, targets, errors and steps.
+def fit_rates(posteriors: DataFrame, targets: list[float], most_steps: int = 40, tolerance: float = 1e-3) -> tuple[list[list[float]], dict]:
+    """The gradient steps for rate_after(), and a report of totals, targets, what is reached and the number of steps.
 
-    targets are expected tokens by domain, in the order of p. The fit ends when
-    every domain is within tolerance of its target, relative to the larger of
-    target and initial total, or after most_steps.
+    posteriors has tokens and p; targets are expected tokens by domain, in the
+    order of p. The fit ends when every domain is within tolerance of its target,
+    relative to the larger of target and initial total, or after most_steps.
     """
     n = len(targets)
 
@@ -63,17 +67,19 @@ def fit_rates(posteriors: DataFrame, targets: list[float], most_steps: int = 40,
             break
         steps.append(errors)
         now = totals(rate_after(steps))
-    return posteriors.withColumn("rate", rate_after(steps)), {"start": start, "targets": targets, "reached": now, "steps": len(steps)}
+    return steps, {"start": start, "targets": targets, "reached": now, "steps": len(steps)}
 
 
-def mix(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, factors: dict[str, float] | None = None, max_labelled: int = 8000) -> tuple[DataFrame, dict]:
-    """doc_id, tokens, p and rate for every row of documents, and the report of fit_rates.
+def mix(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, factors: dict[str, float] | None = None, keep: list[str] | None = None, max_labelled: int = 8000) -> tuple[DataFrame, dict]:
+    """row (a struct of the columns in keep, by default all), tokens, p and rate for every row, and the report of fit_rates.
 
     Targets are either weights, shares of the present number of tokens, or
     factors of each domain's present expected tokens. Null and empty texts have
-    no tokens; their rate follows their posterior like any other's.
+    no tokens; their rate follows their posterior like any other's. Rates are an
+    expression over the text, so that rows pass without a shuffle.
     """
-    post = materialize(domain_posteriors(documents, labels, max_labelled), "posteriors")
+    models = fit_domains(documents, labels, max_labelled)
+    post = materialize(domain_posteriors(documents, models, ["doc_id"]), "posteriors")
     r = post.agg(*(F.sum(F.col("tokens") * F.col("p")[k]) for k in range(len(DOMAINS)))).first()
     have = [float(x or 0.0) for x in r]
     if weights is not None:
@@ -81,4 +87,12 @@ def mix(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | Non
         targets = [sum(have) * weights.get(d, 0.0) / share for d in DOMAINS]
     else:
         targets = [h * (factors or {}).get(d, 1.0) for d, h in zip(DOMAINS, have, strict=True)]
-    return fit_rates(post, targets)
+    steps, report = fit_rates(post, targets)
+    rows = post if keep == ["doc_id"] else domain_posteriors(documents, models, keep)
+    return rows.withColumn("rate", rate_after(steps)), report
+
+
+def apply_rates(rated: DataFrame, near_one: float = 0.9) -> DataFrame:
+    """The rows that rates of at most one keep: all from near_one up, of the others the share that the rate names, by a hash of the row."""
+    draw = F.pmod(F.xxhash64(F.col("row")), F.lit(1 << 20)) / float(1 << 20)
+    return rated.filter((F.col("rate") >= near_one) | (draw < F.col("rate"))).select("row.*")

@@ -38,7 +38,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftscan.llm import langid
 
     documents = load(spark, sf_dir, "documents")
-    found = langid.identify(documents, langid.train(documents))
+    found = langid.identify(documents, langid.train(documents), ["doc_id"]).select("row.doc_id", "lang_pred", "score")
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
@@ -90,13 +90,13 @@ FROM parts GROUP BY conv_id
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftscan.llm import secrets
 
-    found = secrets.find_secrets(load(spark, sf_dir, "documents"))
+    found = secrets.find_secrets(load(spark, sf_dir, "documents"), keep=["doc_id"])
 
     def count(kind: int):
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
 
     counts = [count(k).alias(f"n_{name}") for k, name in enumerate(secrets.BASE)]
-    return found.select("doc_id", *counts, F.sha2(secrets.spell("base"), 256).alias("base_sha256"), secrets.spell("spans").alias("spans"))
+    return found.select("row.doc_id", *counts, F.sha2(secrets.spell("base"), 256).alias("base_sha256"), secrets.spell("spans").alias("spans"))
 
 
 @query
@@ -147,5 +147,5 @@ MIXTURE = {"good": 0.9, "good_toxic": 0.02, "low": 0.08, "low_toxic": 0.0}
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from driftscan.llm import mixing
 
-    rated, _ = mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), weights=MIXTURE)
-    return rated.select("doc_id", "tokens", *(F.round(F.col("p")[k], 9).alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)), F.round("rate", 6).alias("rate"))
+    rated, _ = mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), weights=MIXTURE, keep=["doc_id"])
+    return rated.select("row.doc_id", "tokens", *(F.round(F.col("p")[k], 9).alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)), F.round("rate", 6).alias("rate"))

@@ -84,23 +84,23 @@ def link_weak(found: DataFrame, reach: int) -> DataFrame:
     return tally.filter(need).groupBy("row_id").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("linked"))
 
 
-def find_secrets(documents: DataFrame, reach: int = 200, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in keep, base and spans: arrays of (start, kind, stop), ordered by start, then kind.
+def find_secrets(documents: DataFrame, reach: int = 200, keep: list[str] | None = None) -> DataFrame:
+    """row (a struct of the columns in keep, by default all), base and spans: arrays of (start, kind, stop), by start, then kind.
 
     kind counts in KINDS; positions are code points, the stop exclusive. Null
-    texts are empty. Every row gives one row, repeated ones and null ids too.
-    A weak span that lies within a strong one is that strong one's.
+    texts are empty. Every row gives one row, repeated ones and null ids too;
+    other columns, whatever their names, pass in the struct. A weak span that
+    overlaps a strong one is not reported. Only rows with weak spans are joined.
     """
-    text = F.coalesce("text", F.lit(""))
-    base = [spans(F.col("__text"), p, k, n, _SIGN.get(name)) for k, (name, (p, n)) in enumerate(BASE.items())]
-    weak = [spans(F.col("__text"), p, len(BASE) + k, 0, _SIGN.get(name)) for k, (name, p) in enumerate(WEAK.items())]
-    found = documents.select(F.monotonically_increasing_id().alias("row_id"), *(F.col(c) for c in keep), text.alias("__text"))
-    found = found.select("row_id", *keep, F.array_sort(F.concat(*base)).alias("base"), F.concat(*weak).alias("weak"))
-    inside = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["stop"]) & (w["start"] < b["stop"])))
-    found = materialize(found.withColumn("weak", F.when(F.size("weak") > 0, inside).otherwise(F.col("weak"))), "spans")
-    linked = link_weak(found, reach)
-    out = found.join(linked, "row_id", "left")
-    return out.select(*keep, "base", F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(SPAN)))).alias("spans"))
+    base = [spans(F.col("t"), p, k, n, _SIGN.get(name)) for k, (name, (p, n)) in enumerate(BASE.items())]
+    weak = [spans(F.col("t"), p, len(BASE) + k, 0, _SIGN.get(name)) for k, (name, p) in enumerate(WEAK.items())]
+    found = documents.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*(keep or documents.columns)).alias("row"), F.coalesce("text", F.lit("")).alias("t"))
+    found = found.select("row_id", "row", F.array_sort(F.concat(*base)).alias("base"), F.concat(*weak).alias("weak"))
+    apart = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["stop"]) & (w["start"] < b["stop"])))
+    found = materialize(found.withColumn("weak", F.when(F.size("weak") > 0, apart).otherwise(F.col("weak"))), "spans")
+    plain = found.filter(F.size("weak") == 0).select("row", "base", F.col("base").alias("spans"))
+    joined = found.filter(F.size("weak") > 0).join(link_weak(found, reach), "row_id", "left")
+    return plain.unionByName(joined.select("row", "base", F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(SPAN)))).alias("spans")))
 
 
 def spell(span_list: str | Column) -> Column:
