@@ -8,11 +8,13 @@ Bands of coordinates bring candidates together; links are confirmed on the full
 sets.
 
 Documents with equal sets are one node from the start. Within a band's bucket
-every node is first compared with the bucket's smallest node alone. The links
-found are joined into components, and only nodes of a bucket that are still in
-different components are then compared with each other, under two bounds that
-no link breaks (sizes) or next to none (signatures); so a large group of copies costs
-about one comparison a member, and no link between components is lost.
+every node is first compared with the bucket's centre alone, the node that meets
+most others. The links found are joined into components, and only nodes of a
+bucket that are still in different components are then held against each other:
+by their sizes, by one bit of each coordinate, and by their sets or samples of
+them, all within the join, so that pairs that no link joins are not emitted. A
+large group of copies thus costs about one comparison a member, and no link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from driftscan.session import materialize
 
 WORDS, SLOTS = 5, 1 << 20
 BANDS, ROWS = 32, 6
+#: Shingles of a set that go along into a bucket; a larger set sends a sample of about as many.
+SAMPLE = 1024
 _M = np.uint64(0x9E3779B97F4A7C13)
 
 
@@ -136,12 +140,41 @@ def _linked(a: Column, b: Column, percent: int) -> Column:
     return both * 100 >= (F.size(a) + F.size(b) - both) * percent
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, percent: int, label: str) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are linked. Only texts of documents in a pair are shuffled on."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = materialize(shingle_sets(documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi")).distinct(), "sets")
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are linked."""
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("sh").alias("sa")), sets.select(F.col("doc_id").alias("b"), F.col("sh").alias("sb"))
-    return materialize(pairs.join(left, "a").join(right, "b").filter(_linked(F.col("sa"), F.col("sb"), percent)).select("a", "b").distinct(), label)
+    return materialize(pairs.join(left, "a").join(right, "b").filter(_linked(F.col("sa"), F.col("sb"), percent)).select("a", "b").distinct(), "links")
+
+
+def _sets_of(documents: DataFrame, wanted: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
+    """Full shingle sets of the wanted ids; the ids are broadcast only where they have been counted to be few."""
+    ids = materialize(wanted.select(F.col("node").alias("doc_id")).distinct(), "wanted")
+    if ids.count() <= most_broadcast:
+        ids = F.broadcast(ids)
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    return materialize(shingle_sets(texts), "sets").distinct()
+
+
+def compact(sets: DataFrame, most: int = SAMPLE) -> DataFrame:
+    """node, n, level, k0, k1, sample: 32 bits of each hash, of a set over `most` only those in the lowest 2^-level of the range.
+
+    k0 counts the sample, k1 what one level more would leave, so that sets of
+    neighbouring levels can be compared.
+    """
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.size("sh") / float(most)))).cast("int")
+    own = sets.filter(F.size("sh") > 0).select(F.col("doc_id").alias("node"), "sh", F.size("sh").alias("n"), level.alias("level"))
+    high = [F.expr(f"filter(sh, h -> shiftrightunsigned(h, 32) < shiftright(4294967296L, level + {k}))") for k in (0, 1)]
+    own = own.select("node", "n", "level", high[0].alias("low"), F.size(high[1]).alias("k1"))
+    return own.select("node", "n", "level", F.size("low").alias("k0"), "k1", F.expr("transform(low, h -> cast(h & 2147483647L as int))").alias("sample"))
+
+
+def _near(x: str, y: str, percent: int) -> Column:
+    """Whether the samples leave a link possible: exact for sets that are their own sample, else within five standard deviations."""
+    deeper = F.greatest(F.col(f"{x}.level"), F.col(f"{y}.level"))
+    kx, ky = (F.when(F.col(f"{s}.level") == deeper, F.col(f"{s}.k0")).otherwise(F.col(f"{s}.k1")) for s in (x, y))
+    both, p = F.size(F.array_intersect(F.col(f"{x}.sample"), F.col(f"{y}.sample"))), percent / 100
+    margin = F.when(deeper == 0, F.lit(0.0)).otherwise(5 * math.sqrt(p * (1 - p)) / F.sqrt(F.greatest(F.lit(1), F.least(kx, ky)).cast("double")))
+    return both >= (F.lit(p) - margin) * (kx + ky - both) - 2
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -157,32 +190,37 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     named = sig.filter("n > 0 and doc_id is not null")
     nodes = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
     members = materialize(named.join(nodes, "digest").select("doc_id", "node", "n", F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands"), F.when(F.col("doc_id") == F.col("node"), F.col("bits")).alias("bits")), "members")
-    in_bands = members.filter("bands is not null").select("node", "n", "bits", F.explode("bands").alias("band"))
-
-    buckets = materialize(in_bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most"), "buckets")
-    shared = materialize(in_bands.join(buckets, "band"), "shared")
-    star = materialize(shared.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "star")
+    in_bands = members.filter("bands is not null").select("node", F.explode("bands").alias("band"))
+
+    # buckets of two nodes or more, and each bucket's centre: the node that meets most others
+    buckets = in_bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
+    shared = materialize(in_bands.join(materialize(buckets.select("band", "size"), "buckets"), "band").distinct(), "shared")
+    popular = shared.groupBy("node").agg(F.sum("size").alias("met"))
+    ranked = materialize(shared.join(popular, "node").select("band", "node", "met"), "ranked")
+    centres = materialize(ranked.groupBy("band").agg(F.max(F.struct("met", -F.col("node"))).alias("top")).select("band", (-F.col("top")["col2"]).alias("centre")), "centres")
+    star = ranked.select("band", "node").join(centres, "band").filter("node <> centre")
+    star = materialize(star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "star")
+    sets = _sets_of(documents, shared)
     same_id = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("a", "b")
-    links = _verified(star, documents, percent, "links").unionByName(same_id)
+    links = _verified(star, sets, percent).unionByName(same_id)
+    found = connected_components(links, "a", "b")
 
-    first = connected_components(links, "a", "b")
-    placed = shared.join(first, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("least", "most")
+    # what is left within buckets: nodes of different components that have not met
+    placed = materialize(shared.select("band", "node").join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")), "placed")
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
-    open_buckets = materialize(placed.join(mixed, "band"), "open")
-    x, y = open_buckets.alias("x"), open_buckets.alias("y")
+    side = materialize(placed.join(materialize(mixed, "mixed"), "band"), "open").join(compact(sets), "node").join(members.filter("bits is not null").select("node", "bits").distinct(), "node")
+    x, y = side.alias("x"), side.alias("y")
     apart = x.join(
         y,
         (F.col("x.band") == F.col("y.band"))
         & (F.col("x.component") < F.col("y.component"))
         & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        & (_differing("x", "y") <= most_differing(percent)),
+        & (_differing("x", "y") <= most_differing(percent))
+        & _near("x", "y", percent),
     ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     apart = materialize(apart.distinct().join(star, ["a", "b"], "left_anti"), "apart")
-    if apart.isEmpty():
-        found = first
-    else:
-        more = _verified(apart, documents, percent, "links")
-        found = connected_components(links.unionByName(more), "a", "b")
+    if not apart.isEmpty():
+        found = connected_components(links.unionByName(_verified(apart, sets, percent)), "a", "b")
 
     ids = members.select("doc_id", "node").join(found, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("component_id"))
     out = sig.select("doc_id", "n").join(ids, "doc_id", "left")
