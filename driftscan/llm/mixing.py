@@ -37,7 +37,7 @@ def rate_after(steps: list[list[float]]) -> Column:
     rate = F.lit(1.0)
     if not steps:
         return rate
-    table = F.array(*(F.array(*map(F.lit, e)) for e in steps))
+    table = F.expr("array(" + ", ".join("array(" + ", ".join(f"{x!r}D" for x in e) + ")" for e in steps) + ")")
 
     def step(r: Column, e: Column) -> Column:
         return F.greatest(F.lit(0.0), r - F.aggregate(F.zip_with("p", e, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x))
@@ -50,12 +50,14 @@ def fit_rates(posteriors: DataFrame, targets: list[float], most_steps: int = 40,
 
     posteriors has tokens and p; targets are expected tokens by domain, in the
     order of p. The fit ends when every domain is within tolerance of its target,
-    relative to the larger of target and initial total, or after most_steps.
+    relative to the larger of target and initial total, when a step moves no
+    domain by a tenth of the tolerance, or after most_steps.
     """
     n = len(targets)
 
     def totals(rate: Column) -> list[float]:
-        r = posteriors.agg(*(F.sum(rate * F.col("tokens") * F.col("p")[k]).alias(f"d{k}") for k in range(n))).first()
+        rated = posteriors.select("p", (rate * F.col("tokens")).alias("kept"))
+        r = rated.agg(*(F.sum(F.col("kept") * F.col("p")[k]).alias(f"d{k}") for k in range(n))).first()
         return [float(x or 0.0) for x in r]
 
     start = now = totals(F.lit(1.0))
@@ -66,7 +68,9 @@ def fit_rates(posteriors: DataFrame, targets: list[float], most_steps: int = 40,
         if max((abs(e) * s / max(s, b) for e, b, s in zip(errors, targets, scale, strict=True)), default=0) <= tolerance:
             break
         steps.append(errors)
-        now = totals(rate_after(steps))
+        last, now = now, totals(rate_after(steps))
+        if max((abs(a - b) / s for a, b, s in zip(last, now, scale, strict=True)), default=0) <= tolerance / 10:
+            break
     return steps, {"start": start, "targets": targets, "reached": now, "steps": len(steps)}
 
 
@@ -95,4 +99,6 @@ def mix(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | Non
 def apply_rates(rated: DataFrame, near_one: float = 0.9) -> DataFrame:
     """The rows that rates of at most one keep: all from near_one up, of the others the share that the rate names, by a hash of the row."""
     draw = F.pmod(F.xxhash64(F.col("row")), F.lit(1 << 20)) / float(1 << 20)
-    return rated.filter((F.col("rate") >= near_one) | (draw < F.col("rate"))).select("row.*")
+    # the number keeps the planner from moving the test below the expressions it rests on, which would repeat them
+    numbered = rated.withColumn("number", F.monotonically_increasing_id())
+    return numbered.filter(((F.col("rate") >= near_one) | (draw < F.col("rate"))) & (F.col("number") >= 0)).select("row.*")
