@@ -81,6 +81,18 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_scratch: list[str] = []
+
+
+def scratch_since(mark: int) -> list[str]:
+    """Paths of the tables that materialize() has written since `mark` of them were."""
+    return _scratch[mark:]
+
+
+def scratch_mark() -> int:
+    return len(_scratch)
+
+
 def _drop_at_exit(spark: SparkSession, path: str) -> None:
     try:
         drop_path(spark, path)
@@ -97,5 +109,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     atexit.register(_drop_at_exit, spark, path)
+    _scratch.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
