@@ -1,7 +1,8 @@
 """A training corpus from raw documents, in five stages over the columns of documents.
 
 Each stage works on all that the one before it kept, and is written as Parquet
-to the shared folder and read again as the next one's input.
+to the shared folder and read again as the next one's input. Write a stage's
+result before the next one is called: that drops the earlier one's scratch tables.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftscan.llm import langid, mixing, neardup, packing, secrets
-from driftscan.session import load, materialize, ship
+from driftscan.session import drop_path, load, materialize, scratch_mark, scratch_since, ship
 
 #: A document's best language must have this share of its positions; less is undetermined.
 LEAST_SCORE = 0.34
@@ -62,12 +63,29 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+_held: list[str] = []
+
+
+def _tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, which first drops the scratch tables of the one before it: that one's result has been written by now."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _held:
+            drop_path(spark, _held.pop())
+        mark = scratch_mark()
+        out = stage(spark, docs, sf_dir)
+        _held.extend(scratch_since(mark))
+        return out
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", language),
-    ("near_duplicates", near_duplicates),
-    ("secret_scan", secret_scan),
-    ("mixing", mixture),
-    ("packing", packed),
+    ("language_id", _tidy(language)),
+    ("near_duplicates", _tidy(near_duplicates)),
+    ("secret_scan", _tidy(secret_scan)),
+    ("mixing", _tidy(mixture)),
+    ("packing", _tidy(packed)),
 ]
 
 
