@@ -8,6 +8,8 @@ the same pointers, and each becomes one conversation in a marked-up template.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,16 +51,20 @@ def reply_paths(messages: DataFrame, paths_per_tree: int | None = None, most_rou
     known = own.select("t", F.col("msg_id").alias("up"))
     jump = own.withColumnRenamed("parent_id", "up").join(known.withColumn("there", F.lit(True)), ["t", "up"], "left")
     jump = materialize(jump.select("t", "msg_id", F.when(F.col("there"), F.col("up")).alias("up"), F.lit(1).cast("bigint").alias("n"), "score"), "jump")
-    jumps = [jump]
+    jumps, ended = [jump], []
     while not jump.filter("up is not null").isEmpty():
         if len(jumps) > most_rounds:
             raise ValueError("the parents form a cycle")
-        above = jump.select("t", F.col("msg_id").alias("up"), F.col("up").alias("up2"), F.col("n").alias("n2"), F.col("score").alias("score2"))
-        jump = jump.join(above, ["t", "up"], "left").select("t", "msg_id", F.col("up2").alias("up"), (F.col("n") + F.coalesce("n2", F.lit(0))).alias("n"), (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"))
+        # only messages whose pointer has not reached the root go on
+        ended.append(jump.filter("up is null"))
+        above = reduce(DataFrame.unionByName, ended, jump.filter("up is not null"))
+        above = above.select("t", F.col("msg_id").alias("up"), F.col("up").alias("up2"), F.col("n").alias("n2"), F.col("score").alias("score2"))
+        jump = jump.filter("up is not null").join(above, ["t", "up"]).select("t", "msg_id", F.col("up2").alias("up"), (F.col("n") + F.col("n2")).alias("n"), (F.col("score") + F.col("score2")).alias("score"))
         jump = materialize(jump, "jump")
         jumps.append(jump)
+    whole = reduce(DataFrame.unionByName, ended, jump)
     parents = jumps[0].filter("up is not null").select("t", F.col("up").alias("msg_id")).distinct()
-    leaves = jump.join(parents, ["t", "msg_id"], "left_anti").withColumn("path_score", F.col("score") / F.col("n"))
+    leaves = whole.join(parents, ["t", "msg_id"], "left_anti").withColumn("path_score", F.col("score") / F.col("n"))
     order = Window.partitionBy("t").orderBy(F.desc("path_score"), "msg_id")
     leaves = leaves.withColumn("path_rank", F.row_number().over(order))
     if paths_per_tree is not None:
