@@ -81,18 +81,18 @@ def edited_pairs(documents: DataFrame, partitions: int | None = None, scale: int
     and of the part that the document before it takes, once more.
     """
     spark = documents.sparkSession
-    own = documents.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    own = documents.select(F.coalesce("doc_id", F.lit(-(1 << 63))).cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     sizes = materialize(own.groupBy("id").agg(F.max(F.length("text")).alias("n_chars"), F.count("*").alias("rows")), "sizes")
     order = following(sizes, partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
     before = materialize(order.join(sizes, "id").select(F.col("next_id").alias("id"), F.col("id").alias("prev_id"), F.floor(F.col("n_chars") / 2).cast("int").alias("taken")), "before")
 
-    placed = own.join(before, "id")
-    left = placed.select("doc_id", "id", "text", F.length("text").alias("n_chars"))
+    placed = own.join(before, "id")  # both branches below take id and text of it alone, and so share its shuffle
+    left = placed.select("id", "text", F.length("text").alias("n_chars"))
     left = add_sketch(left, "text", "sketch", scale).withColumn("text", F.substring("text", F.lit(1), F.col("n_chars") - F.floor(F.col("n_chars") / 2).cast("int")))
     right = add_sketch(placed, "text", "next_sketch", scale).select(F.col("prev_id").alias("id"), F.substring("text", F.lit(1), F.col("taken")).alias("tail"), "next_sketch")
     if not sizes.filter("rows > 1").isEmpty():
         right = right.groupBy("id").agg(F.min(F.struct("tail", "next_sketch")).alias("m")).select("id", "m.*")
     both = left.join(right, "id")
     edited = F.concat("text", F.substring("tail", F.lit(1), F.floor(F.col("n_chars") / 2).cast("int")))
-    both = both.select("doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "sketch", edited.alias("edited_text"), "next_sketch")
+    both = both.select(F.nullif("id", F.lit(-(1 << 63))).alias("doc_id"), F.col("n_chars").cast("bigint").alias("n_chars"), "sketch", edited.alias("edited_text"), "next_sketch")
     return add_sketch(both, "edited_text", "edited_sketch", scale)
