@@ -1,16 +1,19 @@
 """Document evidence by a naive Bayes model over words and style marks, in DataFrame expressions only.
 
 The model is fitted on a bounded sample of labelled documents by one grouped
-count and keeps the marks whose presence differs most between the classes; its
-few weights then stand as literals in the expression that scores whole texts.
+count and keeps every mark whose presence differs between the classes by more
+than chance; the weights then stand as one hashed table, a literal, in the
+expression that scores whole texts, which costs a mark the same whatever the
+number of weights.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,12 +58,12 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, max_labelled: int)
     return documents.filter(chosen).select("doc_id", "text").join(some, "doc_id")
 
 
-def fit(sample: DataFrame, targets: tuple[str, ...], max_marks: int = 256, least_docs: int = 5, least_z: float = 5.0) -> dict[str, NaiveBayes]:
+def fit(sample: DataFrame, targets: tuple[str, ...], least_docs: int = 5, least_z: float = 5.0) -> dict[str, NaiveBayes]:
     """A model for each binary label column of sample (with text).
 
-    Only marks of at least least_docs documents and a two-proportion z score of
-    least_z or more count, max_marks for each target at most. A target with one
-    class only, or none, gets its smoothed prior.
+    All marks of at least least_docs documents and a two-proportion z score of
+    least_z or more count. A target with one class only, or none, gets its
+    smoothed prior.
     """
     totals = sample.agg(*(F.count_if(F.col(t) == v).alias(f"{t}{v}") for t in targets for v in (0, 1))).first().asDict()
     marked = words_and_marks(sample).select(F.explode("marks").alias("mark"), *targets)
@@ -73,7 +76,7 @@ def fit(sample: DataFrame, targets: tuple[str, ...], max_marks: int = 256, least
             a, b = F.col(f"{t}0"), F.col(f"{t}1")
             share = (a + b) / (n0 + n1)
             z = (b / n1 - a / n0) / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1) + 1e-9)
-            found = counts.filter((a + b >= least_docs) & (F.abs(z) >= least_z)).orderBy(F.desc(F.round(F.abs(z), 9)), "mark").limit(max_marks).select("mark", a.alias("a"), b.alias("b"))
+            found = counts.filter((a + b >= least_docs) & (F.abs(z) >= least_z)).orderBy(F.desc(F.round(F.abs(z), 9)), "mark").select("mark", a.alias("a"), b.alias("b"))
             for r in found.collect():
                 p0, p1 = (r["a"] + 0.5) / (n0 + 1), (r["b"] + 0.5) / (n1 + 1)
                 absent = math.log((1 - p1) / (1 - p0))
@@ -83,13 +86,26 @@ def fit(sample: DataFrame, targets: tuple[str, ...], max_marks: int = 256, least
     return out
 
 
+def _slot(mark: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(mark), F.lit(n)).cast("int")
+
+
+def _hashed(weights: dict[str, float]) -> tuple[int, Column]:
+    """A number of slots and a foldable array of as many maps, each with the weights whose marks hash to it: Spark searches a map from end to end."""
+    n = 2 * len(weights)
+    spark = SparkSession.active()
+    slots: list[dict[str, float]] = [{} for _ in range(n)]
+    for r in spark.createDataFrame(list(weights.items()), "mark string, weight double").select("mark", "weight", _slot(F.col("mark"), n).alias("slot")).collect():
+        slots[r["slot"]][r["mark"]] = r["weight"]
+    return n, F.from_json(F.lit(json.dumps(slots)), "array<map<string,double>>")
+
+
 def log_odds(model: NaiveBayes, marks: str = "marks", most: float = 12.0) -> Column:
     """The model's log odds of a document's marks, within -most and most."""
     if not model.weights:
         return F.lit(max(-most, min(most, model.base)))
-    vocabulary = F.array(*map(F.lit, model.weights))
-    table = F.create_map(*(F.lit(x) for kv in model.weights.items() for x in kv))
-    total = F.aggregate(F.array_intersect(F.col(marks), vocabulary), F.lit(model.base), lambda s, m: s + F.element_at(table, m))
+    n, table = _hashed(model.weights)
+    total = F.aggregate(F.col(marks), F.lit(model.base), lambda s, m: s + F.coalesce(F.element_at(F.get(table, _slot(m, n)), m), F.lit(0.0)))
     return F.greatest(F.lit(-most), F.least(F.lit(most), total))
 
 

@@ -109,6 +109,25 @@ def test_evidence_against_counts(spark):
     assert empty["quality"].weights == {} and empty["quality"].base == 0
 
 
+def test_every_telling_mark_counts(spark):
+    rows = [(k, " ".join(f"{'ab'[k % 2]}{x}" for x in range(400)) if k % 4 < 2 else "", k % 2) for k in range(200)]
+    m = evidence.fit(spark.createDataFrame(rows, "doc_id bigint, text string, quality int"), ("quality",))["quality"]
+    assert {f"{c}{x}" for c in "ab" for x in range(400)} <= set(m.weights)
+    docs = spark.createDataFrame([(0, "a0 b399 b7 unknown"), (1, "")], "doc_id bigint, text string")
+    got = evidence.words_and_marks(docs).select("doc_id", "marks", evidence.log_odds(m, most=1e9).alias("odds")).collect()
+    for r in got:
+        assert r["odds"] == pytest.approx(m.base + sum(m.weights.get(x, 0.0) for x in r["marks"]))
+
+
+def test_clean_documents_are_kept_in_every_language(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.classify(docs, labels, F.col("source"), F.col("lang")).select("doc_id", "path", "kept")
+    clean = found.join(labels.filter("quality = 1 and toxic = 0").select("doc_id"), "doc_id")
+    shares = {r["path"]: r["share"] for r in clean.groupBy("path").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert set(shares) == {"de", "en", "es", "fr"} and min(shares.values()) > 0.75
+
+
 def test_quality_shrinks_sparse_sites(spark):
     docs, labels = labelled(spark)
     got = {r["doc_id"]: r for r in quality.classify(docs, labels, F.col("host"), F.col("path")).collect()}
