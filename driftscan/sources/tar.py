@@ -1,9 +1,10 @@
 """Tar archives as tables: one row a member, decoded images, side-cars, positions.
 
 `members` streams each archive inside a task, so that its size is not bounded by
-a row's. Archives are listed by Spark's binaryFile source without their content;
-members are read through the Hadoop file system of the path, or locally where
-the path is local.
+a row's; a member's is (2 GB). Archives are listed by Spark's binaryFile source
+without their content, and opened where they are, as paths of a local or mounted
+file system. Python workers cannot reach Spark's other file systems: archives
+there are read as binary values of at most 2 GB.
 """
 
 from __future__ import annotations
@@ -31,12 +32,15 @@ def archives(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def members(tars: DataFrame, with_content: bool = True, only_images: bool = False) -> DataFrame:
-    """One row for each file in each archive (MEMBERS), any compression; an unreadable archive is one row with an error."""
+    """One row for each file in each archive (MEMBERS), any compression; an unreadable archive is one row with an error.
+
+    The content of tars is read only for archives outside the local file system.
+    """
     names = [x.split()[0] for x in MEMBERS.split(", ")]
 
-    def read(path: str, content: bytes) -> Iterator[tuple]:
+    def read(path: str, content: bytes | None) -> Iterator[tuple]:
         try:
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
+            with tarfile.open(path, "r|*") if content is None else tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
                 for k, m in enumerate(tar):
                     if m.isfile() and (not only_images or m.name.lower().endswith(EXTENSIONS)):
                         f = tar.extractfile(m) if with_content else None
@@ -46,9 +50,9 @@ def members(tars: DataFrame, with_content: bool = True, only_images: bool = Fals
 
     def run(batches):
         for b in batches:
-            for path, content in zip(b.column(0), b.column(1), strict=True):
+            for k in range(b.num_rows):
                 rows, held = [], 0
-                for row in read(path.as_py(), content.as_py() or b""):
+                for row in read(b.column(0)[k].as_py(), (b.column(1)[k].as_py() or b"") if b.num_columns > 1 else None):
                     rows.append(row)
                     held += len(row[4] or b"")
                     if held > 16_000_000:
@@ -57,7 +61,11 @@ def members(tars: DataFrame, with_content: bool = True, only_images: bool = Fals
                 if rows:
                     yield _batch(rows, names)
 
-    return tars.select("tar_path", "content").mapInArrow(run, MEMBERS)
+    local = F.col("tar_path").startswith("/")
+    streamed = tars.select("tar_path").filter(local).mapInArrow(run, MEMBERS)
+    if tars.select("tar_path").filter(~local).isEmpty():
+        return streamed
+    return streamed.unionByName(tars.select("tar_path", "content").filter(~local).mapInArrow(run, MEMBERS))
 
 
 _TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}

@@ -1,5 +1,6 @@
 """Archives, decoders, kernels and array stores, on files made here."""
 
+import gzip
 import io
 import json
 import struct
@@ -84,6 +85,30 @@ def test_decoders():
             decode.decode(damaged)
 
 
+def test_archives_larger_than_a_value_are_streamed(spark, archive, tmp_path):
+    data = (archive / "2024-01-01" / "run_1450.tar").read_bytes()
+    (tmp_path / "a b.tar.gz").write_bytes(gzip.compress(data))
+    (tmp_path / "run.tar").write_bytes(data)
+    (tmp_path / "short.tar").write_bytes(data[: len(data) // 2])
+    tars = tar.archives(spark, str(tmp_path))
+    held = tars.collect()
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        got = tar.members(tars).collect()
+        names = {r["tar_path"].split("/")[-1]: r["n_members"] for r in tar.manifest(tars).collect()}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    far = tar.members(spark.createDataFrame([("far:" + r["tar_path"], r["content"]) for r in held], "tar_path string, content binary")).collect()
+
+    def told(rows):
+        return sorted((r["tar_path"].removeprefix("far:"), r["member_idx"], r["name"] or "", r["size"] or 0, bytes(r["content"] or b"")) for r in rows)
+
+    assert told(got) == told(far) and names["run.tar"] == names["a b.tar.gz"] == 7
+    whole = {n: [r for r in got if r["tar_path"].endswith(n)] for n in ("a b.tar.gz", "run.tar", "short.tar")}
+    assert len(whole["a b.tar.gz"]) == len(whole["run.tar"]) == 8 and all(r["error"] is None and len(r["content"]) == r["size"] for r in whole["run.tar"])
+    assert whole["short.tar"][-1]["error"]
+
+
 def test_scan(spark, archive):
     tars = tar.archives(spark, str(archive))
     m = tar.members(tars).cache()
