@@ -70,15 +70,24 @@ def link_weak(found: DataFrame, reach: int) -> DataFrame:
     """row_id, linked: the weak spans whose complementary parts stand within reach.
 
     A weak identifier needs a secret, a weak secret needs an identifier, an
-    endpoint needs both. Parts meet in bins of `reach` code points, so a bin
-    holds a bounded number of them whatever the length of a text.
+    endpoint needs both. A part covers the bins of `reach` code points from its
+    start to `reach` after its stop; two parts meet where one covers the bin in
+    which the other starts. A bin has a bounded number of starts, whatever the
+    length of a text or of a part.
     """
     weak_rows = found.filter(F.size("weak") > 0)
     parts = _parts(weak_rows)
-    near = parts.withColumn("bin", F.explode(F.array(*(F.floor(F.col("start") / reach) + k for k in (-1, 0, 1)))))
-    other = near.select("row_id", "bin", F.col("role").alias("role2"), F.col("start").alias("start2"), F.col("stop").alias("stop2"))
-    one = parts.filter(F.col("kind") >= len(BASE)).withColumn("bin", F.floor(F.col("start") / reach))
-    meets = one.join(other, ["row_id", "bin"]).filter((F.col("role") != F.col("role2")) & (F.greatest("start", "start2") - F.least("stop", "stop2") <= reach))
+    at = F.floor(F.col("start") / reach)
+    covered = F.sequence(at, F.floor((F.col("stop") + reach) / reach))
+
+    def bins(df: DataFrame, starts: bool) -> DataFrame:
+        """Rows for the bin of the start, which `starts` marks, and for those covered, which its contrary marks."""
+        own = F.array(F.struct(at.alias("bin"), F.lit(starts).alias("starts")))
+        return df.select("*", F.explode(F.concat(own, F.transform(covered, lambda b: F.struct(b.alias("bin"), F.lit(not starts).alias("starts"))))).alias("b")).select(*df.columns, "b.bin", "b.starts")
+
+    other = bins(parts, False).select("row_id", "bin", "starts", F.col("role").alias("role2"), F.col("start").alias("start2"), F.col("stop").alias("stop2"))
+    one = bins(parts.filter(F.col("kind") >= len(BASE)), True)
+    meets = one.join(other, ["row_id", "bin", "starts"]).filter((F.col("role") != F.col("role2")) & (F.greatest("start", "start2") - F.least("stop", "stop2") <= reach))
     tally = meets.groupBy("row_id", "role", "start", "kind", "stop").agg(F.bool_or(F.col("role2") == "id").alias("id"), F.bool_or(F.col("role2") == "secret").alias("secret"))
     need = F.when(F.col("role") == "id", F.col("secret")).when(F.col("role") == "secret", F.col("id")).otherwise(F.col("id") & F.col("secret"))
     return tally.filter(need).groupBy("row_id").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("linked"))

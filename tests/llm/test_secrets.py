@@ -42,6 +42,15 @@ def test_weak_parts_need_their_complements(spark):
     assert got == {1: ["access", "weak_secret", "endpoint"], 2: [], 3: ["access"], 4: ["weak_id", "assign"], 5: []}
 
 
+def test_long_parts_meet_what_stands_near_their_ends(spark):
+    key, blob, url = "ASIAABCDEFGHIJKLMNOP", "aB3" * 1000, "https://s3.example.amazonaws.com"
+    texts = {1: f"{blob} {key}", 2: f"{key} {blob}", 3: f"token={'x' * 3000} {key}", 4: f"{url} {blob} {key}", 5: f"{blob} {'x ' * 150}{key}", 6: f"{blob} {'x ' * 90}{key}", 7: f"{key} {'x ' * 150}{blob}"}
+    got = {r["row"]["doc_id"]: [secrets.KINDS[s["kind"]] for s in r["spans"]] for r in secrets.find_secrets(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+    assert got == {1: ["weak_secret", "weak_id"], 2: ["weak_id", "weak_secret"], 3: ["assign", "weak_id"], 4: ["weak_secret", "weak_id"], 5: [], 6: ["weak_secret", "weak_id"], 7: []}
+    masked = secrets.find_secrets(spark.createDataFrame([(1, texts[1])], "doc_id bigint, text string")).select(secrets.redact(F.col("row.text"), F.col("spans")).alias("t")).first()["t"]
+    assert masked == "[redacted] [redacted]"
+
+
 def test_prefix_sums_and_redaction(spark):
     n = 1000
     r = spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).cast("array<bigint>").alias("a")).select(secrets.prefix_sums(F.col("a")).alias("s")).first()["s"]
