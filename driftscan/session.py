@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +35,17 @@ def get_session(app: str = "driftscan", master: str | None = None, **conf) -> Sp
 
 
 _shipped: set[str] = set()
+#: Arrow batches are bounded by bytes as well as rows: a worker and its JVM hold several of them at once.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package's sources to the executors, once for each application, so that Python workers can import it."""
+    """Sends this package's sources to the executors, once for each application, so that Python workers can import it.
+
+    A session that sets no bound for Arrow batches in bytes gets one of 4 MB.
+    """
+    if ARROW_BYTES not in spark.conf.getAll:
+        spark.conf.set(ARROW_BYTES, "4m")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -53,11 +64,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor and the driver can read.
 
-    It is the one named by spark.checkpoint.dir. Where that is unset, local
-    masters get a temporary folder and others one below the warehouse.
+    It is the one named by spark.checkpoint.dir. Where that is unset, masters
+    that run in this one process get a temporary folder and others one below
+    the warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -66,12 +81,11 @@ def shared_dir(spark: SparkSession) -> str:
     held = sc._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
-    if sc.master.startswith("local"):
-        own = tempfile.mkdtemp(prefix="driftscan-")
-    else:
-        own = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_driftscan"
-    sc.setCheckpointDir(own)
-    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_driftscan"
+    if sc.applicationId not in _own_dirs:
+        _own_dirs[sc.applicationId] = "file://" + tempfile.mkdtemp(prefix="driftscan-")
+    return _own_dirs[sc.applicationId]
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -81,16 +95,21 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-_scratch: list[str] = []
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
-def scratch_since(mark: int) -> list[str]:
-    """Paths of the tables that materialize() has written since `mark` of them were."""
-    return _scratch[mark:]
-
-
-def scratch_mark() -> int:
-    return len(_scratch)
+@contextlib.contextmanager
+def scratch_tables() -> Iterator[list[str]]:
+    """The list to which materialize() adds the paths of what it writes within the block, in this thread."""
+    made: list[str] = []
+    outer = _made.get()
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        if outer is not None:
+            outer.extend(made)
 
 
 def _drop_at_exit(spark: SparkSession, path: str) -> None:
@@ -109,6 +128,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     atexit.register(_drop_at_exit, spark, path)
-    _scratch.append(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
