@@ -11,14 +11,16 @@ of `merge_partitions` partitions at a time: bounded work for any input size.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftscan.llm.texts import blocks
 from driftscan.session import materialize
 
 PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, leftover bigint"
@@ -30,7 +32,7 @@ _TAIL = b".,;:!?%&$#*|"
 
 
 class WordIds(dict):
-    """Ids of a white-space-free word, computed once while it stays in a table of bounded size.
+    """Ids of a white-space-free word, computed once while it stays in a table of about cap_bytes.
 
     The vocabulary lower-cases and its pre-tokenizer never joins text over white
     space, nor a letter with a mark after it, so a text's ids are those of its
@@ -38,22 +40,23 @@ class WordIds(dict):
     Words are numbered as they come; flat[ends[k]:ends[k+1]] are the ids of word k.
     """
 
-    def __init__(self, path: str, cap: int = 1_000_000):
+    def __init__(self, path: str, cap_bytes: int = 24_000_000):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.cap = Tokenizer.from_file(path), cap
+        self.tokenizer, self.cap_bytes = Tokenizer.from_file(path), cap_bytes
         self.closing = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.closing[[k for x, k in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
         self.clear()
-        self.new, self.n_flat, self.flat, self.ends = [], 0, np.zeros(1 << 20, np.uint32), np.zeros(1, np.int64)
+        self.new, self.held, self.n_flat, self.flat, self.ends = [], 0, 0, np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
 
     def __missing__(self, word: bytes) -> int:
         self[word] = k = len(self)
         self.new.append(word)
+        self.held += len(word) + 200  # with the entry, its number and its ids
         return k
 
     def _simple(self, words: list[str]) -> list[np.ndarray]:
@@ -101,30 +104,22 @@ class WordIds(dict):
         self.ends = np.concatenate([self.ends, self.n_flat + np.cumsum(sizes)])
         self.n_flat += len(flat)
 
-    def encode(self, text: bytes, block: int = 200_000) -> np.ndarray:
-        """All ids of the whole text, word blocks at a time."""
-        return self.encode_all([text], block)[0]
-
-    def encode_all(self, texts: list[bytes], block: int = 200_000) -> list[np.ndarray]:
-        """Ids of each text; a text of more than `block` words is taken in blocks."""
-        if len(self) > self.cap:
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words in order, and where each word's end. A full table is emptied first."""
+        if self.held > self.cap_bytes:
             self.reset()
-        numbers = []
-        for text in texts:
-            words = text.lower().split()
-            numbers.append([np.fromiter(map(self.__getitem__, words[at : at + block]), np.int64, len(words[at : at + block])) for at in range(0, len(words), block)])
+        k = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if self.new:
             self.learn()
-        out = []
-        for blocks in numbers:
-            ids = []
-            for k in blocks:
-                begin = self.ends[k]
-                size = self.ends[k + 1] - begin
-                stop = np.cumsum(size)
-                ids.append(self.flat[np.arange(stop[-1]) + np.repeat(begin - stop + size, size)])
-            out.append(np.concatenate(ids) if ids else np.zeros(0, np.uint32))
-        return out
+        begin = self.ends[k]
+        size = self.ends[k + 1] - begin
+        stop = np.cumsum(size)
+        return self.flat[np.arange(size.sum()) + np.repeat(begin - stop + size, size)], stop
+
+    def encode(self, text: bytes, block_bytes: int = 1_000_000) -> np.ndarray:
+        """All ids of a whole text, block by block."""
+        parts = [self.ids(b.lower().split())[0] for b in blocks(text, block_bytes)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
 @lru_cache(maxsize=2)
@@ -133,17 +128,27 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def encoded(words: WordIds, batch: pa.RecordBatch, block_bytes: int = 4_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
-    """Document and ids of each row, a few megabytes of text at a time."""
-    docs, texts, held = [], [], 0
-    for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-        docs.append(doc.as_py())
-        texts.append(text.as_py() or b"")
-        held += len(texts[-1])
-        if held >= block_bytes:
-            yield from zip(docs, words.encode_all(texts), strict=True)
-            docs, texts, held = [], [], 0
-    yield from zip(docs, words.encode_all(texts), strict=True)
+def encoded(words: WordIds, rows: Iterable[tuple[int | None, bytes]], block_bytes: int = 1_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Document and ids of each row: short texts are looked up together, a long one in blocks."""
+    docs, parts, held = [], [], 0
+
+    def flush() -> Iterator[tuple[int | None, np.ndarray]]:
+        ids, stops = words.ids(list(chain.from_iterable(parts)))
+        ends = np.concatenate([[0], stops])[np.cumsum([len(p) for p in parts])]
+        return zip(docs, np.split(ids, ends[:-1]), strict=True)
+
+    for doc, text in rows:
+        if held and held + len(text) > block_bytes:
+            yield from flush()
+            docs, parts, held = [], [], 0
+        if len(text) > block_bytes:
+            yield doc, words.encode(text, block_bytes)
+        else:
+            docs.append(doc)
+            parts.append(text.lower().split())
+            held += len(text) + 1
+    if docs:
+        yield from flush()
 
 
 class Window:
@@ -210,22 +215,25 @@ def pack(documents: DataFrame, tokenizer: str, size: int = 2048, open_windows: i
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        words, out, made = word_ids(tokenizer), [], 0
+        words, out, made, held = word_ids(tokenizer), [], 0, 0
 
         def emit(window: Window, leftover=None) -> None:
-            nonlocal made
+            nonlocal made, held
             key = (part << 32) | made
             made += 1
+            held += 4 * window.used + 100 * len(window.pieces)
             out.extend((doc, start, len(ids), ids.astype("<u4").tobytes(), total, key, offset, leftover) for doc, start, ids, total, offset in window.pieces)
 
         packer = Packer(size, open_windows, min_piece, emit)
-        for batch in batches:
-            for doc, ids in encoded(words, batch):
-                ids = np.append(ids, np.uint32(end_id))
-                packer.place(doc, 0, ids, len(ids))
-                if len(out) >= 2000:
+        rows = ((doc.as_py(), text.as_py() or b"") for batch in batches for doc, text in zip(batch.column(0), batch.column(1), strict=True))
+        for doc, ids in encoded(words, rows):
+            ids = np.append(ids, np.uint32(end_id))
+            for at in range(0, len(ids), 128 * size):  # of a long document, so much between two batches
+                packer.place(doc, at, ids[at : at + 128 * size], len(ids))
+                if held >= 1_000_000:
                     yield _table(out)
-                    out = []
+                    out.clear()
+                    held = 0
         for window in packer.open:
             emit(window, part // merge_partitions)
         if out:

@@ -39,7 +39,22 @@ def test_empty_table(spark):
 
 @pytest.mark.parametrize("cap", [1, 10**6])
 def test_table_of_words_is_bounded(cap):
-    w = packing.WordIds(PATH, cap=cap)
+    w = packing.WordIds(PATH, cap_bytes=cap)
     t = Tokenizer.from_file(PATH)
     for text in ("one two three.", "two three. four", "it's 4 o'clock, isn't it?", "x" * 500):
-        assert w.encode(text.encode(), block=2).tolist() == t.encode(text, add_special_tokens=False).ids
+        assert w.encode(text.encode(), block_bytes=8).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_table_holds_bytes_whatever_the_words():
+    w = packing.WordIds(PATH, cap_bytes=200_000)
+    rows = [(k, " ".join(f"{k}x{j}" + "y" * (k % 500) for j in range(50)).encode()) for k in range(200)]
+    for _ in packing.encoded(w, rows, block_bytes=20_000):
+        assert w.held < 200_000 + 50_000 + 200 * 20_000 / 4
+
+
+def test_long_text_is_taken_in_blocks(spark):
+    text = " ".join(f"w{k % 997} and, so" for k in range(60_000))
+    t = Tokenizer.from_file(PATH)
+    want = [*t.encode(text, add_special_tokens=False).ids, 1]
+    rows = packing.pack(spark.createDataFrame([(1, text), (2, "short")], "doc_id bigint, text string"), PATH).filter("doc_id = 1").orderBy("start").collect()
+    assert [i for r in rows for i in np.frombuffer(r["ids"], "<u4").tolist()] == want
