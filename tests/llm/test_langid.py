@@ -47,10 +47,37 @@ def test_edges(spark):
     assert langid.identify(df.limit(0), net).count() == 0
 
 
-def test_scores_do_not_depend_on_the_batch():
-    words = [b"the", b"fox", b"le", b"renard"] * 20
-    net = langid.fit(words, ["en", "en", "fr", "fr"] * 20, epochs=2)
-    texts = [b"the fox", b"le renard le", b"", b"a" * 100]
-    one = langid.Scorer(net).probabilities(texts)
-    each = np.concatenate([langid.Scorer(net, cap=0).probabilities([t]) for t in texts])
-    assert np.allclose(one, each, atol=1e-5)
+def test_scores_are_those_of_a_pass_byte_by_byte():
+    words = [b"the fox and", b"der fuchs und", b"le renard", b"el zorro"] * 20
+    net = langid.fit(words, ["en", "de", "fr", "es"] * 20, hidden=5, segment=16, epochs=2)
+    texts = [b"The fox, and", b"le renard le " * 7, b"", b"a" * 100, "éß und".encode(), b"x" * 16, b"y" * 32]
+    got = net.probabilities(texts, rows=3)
+    each = np.concatenate([net.probabilities([t]) for t in texts])
+    assert np.allclose(got, each, atol=1e-6)
+
+    def gate(x):
+        return 1 / (1 + np.exp(-x))
+
+    for text, p in zip(texts, got, strict=True):
+        total, h = np.zeros(4), net.hidden
+        low = text.lower()
+        for at in range(0, len(low), 16):
+            own = low[at : at + 16]
+            both = np.zeros((len(own), 2 * h))
+            for d in (0, 1):
+                s = np.zeros(h)
+                for k in range(len(own)) if d == 0 else reversed(range(len(own))):
+                    x, u = net.w[d][own[k]].astype(float), net.u[d].astype(float)
+                    z, r = gate(x[:h] + s @ u[:, :h]), gate(x[h : 2 * h] + s @ u[:, h : 2 * h])
+                    s = s + z * (np.tanh(x[2 * h :] + (r * s) @ u[:, 2 * h :]) - s)
+                    both[k, d * h : (d + 1) * h] = s
+            e = np.exp(both @ net.out + net.bias)
+            total += (e / e.sum(axis=1, keepdims=True)).sum(axis=0)
+        assert np.allclose(p, total / len(text) if text else 0.25, atol=1e-5)
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(k, "some english words here", "en") for k in range(2000)] + [(5000 + k, "mots rares en texte", "fr") for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    _, langs = langid.training_segments(df, max_docs=100)
+    assert langs.count("fr") >= 12 and langs.count("en") < 400
