@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftscan.llm.components import connected_components
-from driftscan.session import materialize
+from driftscan.llm.texts import blocks
+from driftscan.session import drop_path, materialize, scratch_tables
 
 WORDS, SLOTS = 5, 1 << 20
 BANDS, ROWS = 32, 6
@@ -45,17 +46,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(text: bytes | None, words: int = WORDS, block: int = 4_000_000) -> np.ndarray:
+def shingles(text: bytes | None, words: int = WORDS, block: int = 1_000_000) -> np.ndarray:
     """The sorted distinct shingle hashes of a whole text; a text of fewer words is one shingle, one of none has none."""
-    hashes, at = [], 0
-    text = (text or b"").lower()
-    while at < len(text):
-        stop = at + block
-        if stop < len(text):  # blocks end at white space
-            stop = min((k for k in (text.find(c, stop) for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")) if k >= 0), default=len(text))
-        own = text[at:stop].split()
+    hashes = []
+    for own in (b.lower().split() for b in blocks(text or b"", block)):
         hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own)))
-        at = stop
     h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     if not len(h):
         return h
@@ -146,13 +141,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialize(pairs.join(left, "a").join(right, "b").filter(_linked(F.col("sa"), F.col("sb"), percent)).select("a", "b").distinct(), "links")
 
 
-def _sets_of(documents: DataFrame, wanted: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
-    """Full shingle sets of the wanted ids; the ids are broadcast only where they have been counted to be few."""
+#: Ids are broadcast only where they have been counted to be at most so many.
+MOST_BROADCAST = 500_000
+
+
+def _sets_of(documents: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """Full shingle sets of the wanted ids; where ids are repeated, each of an id's sets once."""
     ids = materialize(wanted.select(F.col("node").alias("doc_id")).distinct(), "wanted")
-    if ids.count() <= most_broadcast:
+    if ids.count() <= MOST_BROADCAST:
         ids = F.broadcast(ids)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return materialize(shingle_sets(texts), "sets").distinct()
+    sets = shingle_sets(texts)
+    return materialize(sets.distinct() if repeated else sets, "sets")
 
 
 def compact(sets: DataFrame, most: int = SAMPLE) -> DataFrame:
@@ -177,47 +177,59 @@ def _near(x: str, y: str, percent: int) -> Column:
     return both >= (F.lit(p) - margin) * (kx + ky - both) - 2
 
 
-def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
+def _fits(n: str, m: str, percent: int) -> Column:
+    """Whether sets of these sizes can be linked at all."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
+def near_duplicates(documents: DataFrame, percent: int = 85, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of documents.
 
     Documents are linked when 100 * |intersection| >= percent * |union| of their
     shingle sets (percent 80 or more); component_id is the smallest id reached.
     Null and empty texts have no shingles and no links. Rows with one id are one
     node; those with a null id are linked with nothing, have a null
-    component_id, and are kept. The other columns are not read.
+    component_id, and are kept. The other columns are not read. Sets above
+    `sample` shingles are first compared by samples of about as many; a sample as
+    large as the largest set leaves all comparisons exact.
     """
+    with scratch_tables() as made:
+        out = materialize(_found(documents, percent, sample), "near_duplicates")
+    for path in made[:-1]:
+        drop_path(documents.sparkSession, path)
+    return out
+
+
+def _found(documents: DataFrame, percent: int, sample: int) -> DataFrame:
     sig = materialize(signatures(documents), "signatures")
     named = sig.filter("n > 0 and doc_id is not null")
     nodes = materialize(named.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
-    members = materialize(named.join(nodes, "digest").select("doc_id", "node", "n", F.when(F.col("doc_id") == F.col("node"), F.col("bands")).alias("bands"), F.when(F.col("doc_id") == F.col("node"), F.col("bits")).alias("bits")), "members")
-    in_bands = members.filter("bands is not null").select("node", F.explode("bands").alias("band"))
+    own = [F.when(F.col("doc_id") == F.col("node"), F.col(c)).alias(c) for c in ("bands", "bits")]
+    members = materialize(named.join(nodes, "digest").select("doc_id", "node", "n", *own), "members")
+    in_bands = members.filter("bands is not null").select("node", "n", F.explode("bands").alias("band"))
 
     # buckets of two nodes or more, and each bucket's centre: the node that meets most others
     buckets = in_bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size")).filter("lo < hi")
     shared = materialize(in_bands.join(materialize(buckets.select("band", "size"), "buckets"), "band").distinct(), "shared")
     popular = shared.groupBy("node").agg(F.sum("size").alias("met"))
-    ranked = materialize(shared.join(popular, "node").select("band", "node", "met"), "ranked")
-    centres = materialize(ranked.groupBy("band").agg(F.max(F.struct("met", -F.col("node"))).alias("top")).select("band", (-F.col("top")["col2"]).alias("centre")), "centres")
-    star = ranked.select("band", "node").join(centres, "band").filter("node <> centre")
+    ranked = materialize(shared.join(popular, "node").select("band", "node", "n", "met"), "ranked")
+    top = ranked.groupBy("band").agg(F.max(F.struct("met", (-F.col("node")).alias("minus"), F.col("n"))).alias("top"))
+    centres = materialize(top.select("band", (-F.col("top.minus")).alias("centre"), F.col("top.n").alias("n_centre")), "centres")
+    star = ranked.select("band", "node", "n").join(centres, "band").filter((F.col("node") != F.col("centre")) & _fits("n", "n_centre", percent))
     star = materialize(star.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "star")
-    sets = _sets_of(documents, shared)
-    same_id = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b").select("a", "b")
-    links = _verified(star, sets, percent).unionByName(same_id)
+    same_id = materialize(members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("rows")).filter("rows > 1").select("a", "b"), "same_id")
+    sets = _sets_of(documents, shared, not same_id.isEmpty())
+    links = _verified(star, sets, percent).unionByName(same_id.filter("a < b"))
     found = connected_components(links, "a", "b")
 
     # what is left within buckets: nodes of different components that have not met
     placed = materialize(shared.select("band", "node").join(found, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component")), "placed")
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
-    side = materialize(placed.join(materialize(mixed, "mixed"), "band"), "open").join(compact(sets), "node").join(members.filter("bits is not null").select("node", "bits").distinct(), "node")
+    side = materialize(placed.join(materialize(mixed, "mixed"), "band"), "open").join(compact(sets, sample), "node").join(members.filter("bits is not null").select("node", "bits").distinct(), "node")
     x, y = side.alias("x"), side.alias("y")
-    apart = x.join(
-        y,
-        (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.component") < F.col("y.component"))
-        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-        & (_differing("x", "y") <= most_differing(percent))
-        & _near("x", "y", percent),
-    ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    met = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component"))
+    apart = x.join(y, met & _fits("x.n", "y.n", percent) & (_differing("x", "y") <= most_differing(percent)) & _near("x", "y", percent))
+    apart = apart.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     apart = materialize(apart.distinct().join(star, ["a", "b"], "left_anti"), "apart")
     if not apart.isEmpty():
         found = connected_components(links.unionByName(_verified(apart, sets, percent)), "a", "b")
