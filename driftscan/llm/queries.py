@@ -96,7 +96,17 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
 
     counts = [count(k).alias(f"n_{name}") for k, name in enumerate(secrets.BASE)]
-    return found.select("row.doc_id", *counts, F.sha2(secrets.spell("base"), 256).alias("base_sha256"), secrets.spell("spans").alias("spans"))
+    told = [F.sha2(secrets.spell("base"), 256).alias("base_sha256"), secrets.spell("spans").alias("spans")]
+    return found.select("row.doc_id", *counts, *told, F.size("linked").cast("bigint").alias("n_linked"), secrets.credentials("linked").alias("n_credentials"))
+
+
+def _secret_sql() -> str:
+    from driftscan.llm import secrets
+
+    return secrets.oracle_sql()
+
+
+ORACLES["op3_secret_scan"] = _secret_sql()
 
 
 @query

@@ -1,9 +1,13 @@
 """Secret scans with linking of credentials that come in several parts.
 
-Strong patterns are reported wherever they stand. Weak parts (access
-identifiers of other kinds, opaque tokens, endpoints) are reported only when the
+Strong patterns are reported wherever they stand. Weak parts (short or opaque
+values, other access identifiers, logins, endpoints) are reported only when the
 parts that complete them stand within `reach` code points in the same document,
 found by an interval join on bins of that width.
+
+All patterns are runs of one character class, or begin with fixed words, and
+none repeats a group, so that a match takes time in proportion to its length
+and no stack, whatever the text.
 """
 
 from __future__ import annotations
@@ -19,18 +23,26 @@ def _any_case(word: str) -> str:
 
 
 _KEYS = "|".join(_any_case(x) for x in ("password", "passwd", "secret", "token")) + f"|{_any_case('api')}_?{_any_case('key')}"
-#: Strong kinds, in the order in which they are listed: pattern and the least length of group 2 or of the whole.
-ASSIGN = rf"""(?:{_KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-BASE = {"assign": (ASSIGN, 8), "access": (r"AKIA[A-Z0-9]{12,}", 0), "hex": (r"[0-9a-f]{32,}", 0)}
-#: Weak kinds: access identifiers of other types, opaque tokens, endpoints.
-WEAK = {
-    "weak_id": r"\b(?:ASIA|AIDA|AROA|AGPA|ANPA)[A-Z0-9]{12,}|\b[Cc]lient[_-]?[Ii]d[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._-]{6,}",
-    "weak_secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,80}[A-Z])(?=[A-Za-z0-9+/_-]{0,80}[a-z])(?=[A-Za-z0-9+/_-]{0,80}[0-9])[A-Za-z0-9+/_-]{20,}",
-    "endpoint": r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:amazonaws\.com|internal|local)(?::[0-9]+)?",
-}
-KINDS = [*BASE, *WEAK]
-#: Cheap signs without which no pattern of the kind can match.
-_SIGN = {"assign": rf"(?:{_KEYS})", "weak_id": r"ASIA|AIDA|AROA|AGPA|ANPA|[Cc]lient", "endpoint": r"http|amazonaws|internal|local"}
+_NAMES = "|".join(_any_case(x) for x in ("username", "login", "client_id"))
+_SET = r"""["']?\x20*[:=]\x20*["']?"""
+#: Patterns that are searched for, each on its own, leftmost and non-overlapping.
+ASSIGN = rf"(?:{_KEYS}){_SET}([A-Za-z0-9+/_.=-]+)"
+LOGIN = rf"(?:{_NAMES}){_SET}([A-Za-z0-9._@-]+)"
+ACCESS = "AKIA[A-Z0-9]+"
+HEX = "[0-9a-f]{16,}"
+TOKEN = "[A-Za-z0-9+/_.@:-]{12,}"
+#: Tokens that count, as wholes; an opaque one has capitals, small letters and digits besides.
+SESSION_ID = "(?:ASIA|AIDA|AROA|AGPA|ANPA)[A-Z0-9]{12,}"
+MAIL = r"[A-Za-z0-9._+-]+@[A-Za-z0-9.-]+\.[A-Za-z]+"
+ENDPOINT = r"https?://.+|.+\.(?:amazonaws\.com|internal|local)(?::[0-9]+)?"
+OPAQUE = "[A-Za-z0-9+/_-]{20,}"
+#: Strong kinds, then weak ones, in the order in which they are listed, and the role that each plays.
+ROLES = {
+    "assign": "secret", "access": "id", "hex": "secret",
+    "short_value": "secret", "login": "id", "short_access": "id", "short_hex": "secret", "session_id": "id", "mail": "id", "endpoint": "endpoint", "opaque": "secret",
+}
+KINDS = list(ROLES)
+BASE = KINDS[:3]
 SPAN = "array<struct<start:bigint,kind:int,stop:bigint>>"
 
 
@@ -48,35 +60,67 @@ def prefix_sums(a: Column) -> Column:
     return F.when(F.size(a) > 0, F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), scan))).otherwise(none)
 
 
-def spans(text: Column, pattern: str, kind: int, least: int = 0, sign: str | None = None) -> Column:
-    """Code point spans of the leftmost non-overlapping matches; with `least`, those whose group 1 is as long."""
+def matches(text: Column, pattern: str, sign: str | None = None) -> Column:
+    """start, stop (code points, the stop exclusive) and match of all matches; `sign` is what no match can do without."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     lengths = F.transform(found, lambda m: F.length(m).cast("bigint"))
     between = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), lambda p: F.length(p).cast("bigint"))
     ends = prefix_sums(F.zip_with(between, lengths, lambda a, b: a + b))
-    all_spans = F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("start"), F.lit(kind).alias("kind"), e.alias("stop"), (F.length(F.regexp_extract(m, pattern, 1)) if least else F.lit(0)).alias("value")))
-    good = F.transform(F.filter(all_spans, lambda s: s["value"] >= least), lambda s: F.struct(s["start"], s["kind"], s["stop"])).cast(SPAN)
-    sure = text.rlike(pattern) if sign is None else text.rlike(sign) & text.rlike(pattern)
-    return F.when(sure, good).otherwise(F.array().cast(SPAN))
+    all_spans = F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("stop"), m.alias("match")))
+    none = F.array().cast("array<struct<start:bigint,stop:bigint,match:string>>")
+    return F.when(text.rlike(sign or pattern), all_spans).otherwise(none)
+
+
+def _kind(name: str) -> Column:
+    return F.lit(KINDS.index(name))
+
+
+def _spans(found: Column, kind) -> Column:
+    """The matches to which kind (a function of the match) gives one."""
+    told = F.transform(found, lambda m: F.struct(m["start"], kind(m["match"]).cast("int").alias("kind"), m["stop"]))
+    return F.filter(told, lambda s: s["kind"].isNotNull()).cast(SPAN)
+
+
+def all_parts(text: Column) -> Column:
+    """The spans of all kinds in a text, by start, then kind."""
+
+    def value(m: Column, pattern: str) -> Column:
+        return F.length(F.regexp_extract(m, pattern, 1))
 
+    def token(m: Column) -> Column:
+        mixed = m.rlike("[A-Z]") & m.rlike("[a-z]") & m.rlike("[0-9]") & m.rlike(rf"\A{OPAQUE}\z")
+        kinds = [(SESSION_ID, "session_id"), (MAIL, "mail"), (ENDPOINT, "endpoint")]
+        out = F.when(F.lit(False), 0)
+        for pattern, name in kinds:
+            out = out.when(m.rlike(rf"\A(?:{pattern})\z"), _kind(name))
+        return out.when(mixed, _kind("opaque"))
 
-def _parts(found: DataFrame) -> DataFrame:
-    """One row a part: row_id, role (id, secret, endpoint), span. Strong spans serve as parts too."""
-    role = F.element_at(F.array(*(F.lit(x) for x in ("secret", "id", "secret", "id", "secret", "endpoint"))), F.col("s.kind") + 1)
-    return found.select("row_id", F.explode(F.concat("base", "weak")).alias("s")).select("row_id", role.alias("role"), "s.start", "s.kind", "s.stop")
+    return F.array_sort(
+        F.concat(
+            _spans(matches(text, ASSIGN, _KEYS), lambda m: F.when(value(m, ASSIGN) >= 8, _kind("assign")).when(value(m, ASSIGN) >= 4, _kind("short_value"))),
+            _spans(matches(text, ACCESS), lambda m: F.when(F.length(m) >= 16, _kind("access")).when(F.length(m) >= 8, _kind("short_access"))),
+            _spans(matches(text, HEX), lambda m: F.when(F.length(m) >= 32, _kind("hex")).otherwise(_kind("short_hex"))),
+            _spans(matches(text, LOGIN, _NAMES), lambda m: F.when(value(m, LOGIN) >= 3, _kind("login"))),
+            _spans(matches(text, TOKEN), token),
+        )
+    )
 
 
-def link_weak(found: DataFrame, reach: int) -> DataFrame:
-    """row_id, linked: the weak spans whose complementary parts stand within reach.
+def _role(kind: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, ROLES.values())), kind + 1)
 
-    A weak identifier needs a secret, a weak secret needs an identifier, an
-    endpoint needs both. A part covers the bins of `reach` code points from its
+
+def link_parts(found: DataFrame, reach: int) -> DataFrame:
+    """row_id, linked: the spans of found (row_id, parts) whose complementary parts stand within reach.
+
+    An identifier needs a secret, a secret needs an identifier, an endpoint
+    needs both. Weak parts that overlap a strong one are left to it, though they
+    may complete others. A part covers the bins of `reach` code points from its
     start to `reach` after its stop; two parts meet where one covers the bin in
     which the other starts. A bin has a bounded number of starts, whatever the
     length of a text or of a part.
     """
-    weak_rows = found.filter(F.size("weak") > 0)
-    parts = _parts(weak_rows)
+    parts = found.select("row_id", F.explode("parts").alias("s")).select("row_id", _role(F.col("s.kind")).alias("role"), "s.start", "s.kind", "s.stop")
     at = F.floor(F.col("start") / reach)
     covered = F.sequence(at, F.floor((F.col("stop") + reach) / reach))
 
@@ -85,31 +129,40 @@ def link_weak(found: DataFrame, reach: int) -> DataFrame:
         own = F.array(F.struct(at.alias("bin"), F.lit(starts).alias("starts")))
         return df.select("*", F.explode(F.concat(own, F.transform(covered, lambda b: F.struct(b.alias("bin"), F.lit(not starts).alias("starts"))))).alias("b")).select(*df.columns, "b.bin", "b.starts")
 
-    other = bins(parts, False).select("row_id", "bin", "starts", F.col("role").alias("role2"), F.col("start").alias("start2"), F.col("stop").alias("stop2"))
-    one = bins(parts.filter(F.col("kind") >= len(BASE)), True)
-    meets = one.join(other, ["row_id", "bin", "starts"]).filter((F.col("role") != F.col("role2")) & (F.greatest("start", "start2") - F.least("stop", "stop2") <= reach))
-    tally = meets.groupBy("row_id", "role", "start", "kind", "stop").agg(F.bool_or(F.col("role2") == "id").alias("id"), F.bool_or(F.col("role2") == "secret").alias("secret"))
-    need = F.when(F.col("role") == "id", F.col("secret")).when(F.col("role") == "secret", F.col("id")).otherwise(F.col("id") & F.col("secret"))
-    return tally.filter(need).groupBy("row_id").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("linked"))
+    other = bins(parts, False).select("row_id", "bin", "starts", *(F.col(c).alias(f"{c}2") for c in ("role", "start", "kind", "stop")))
+    gap = F.greatest("start", "start2") - F.least("stop", "stop2")
+    apart, under = (F.col("role") != F.col("role2")) & (gap <= reach), (F.col("kind") >= len(BASE)) & (F.col("kind2") < len(BASE)) & (gap < 0)
+    meets = bins(parts, True).join(other, ["row_id", "bin", "starts"]).filter(apart | under)
+    has = {r: F.bool_or(apart & (F.col("role2") == r)).alias(f"has_{r}") for r in ("id", "secret")}
+    tally = meets.groupBy("row_id", "role", "start", "kind", "stop").agg(*has.values(), F.bool_or(under).alias("under"))
+    need = F.when(F.col("role") == "id", F.col("has_secret")).when(F.col("role") == "secret", F.col("has_id")).otherwise(F.col("has_id") & F.col("has_secret"))
+    return tally.filter(need & ~F.col("under")).groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "stop"))).alias("linked"))
 
 
 def find_secrets(documents: DataFrame, reach: int = 200, keep: list[str] | None = None) -> DataFrame:
-    """row (a struct of the columns in keep, by default all), base and spans: arrays of (start, kind, stop), by start, then kind.
-
-    kind counts in KINDS; positions are code points, the stop exclusive. Null
-    texts are empty. Every row gives one row, repeated ones and null ids too;
-    other columns, whatever their names, pass in the struct. A weak span that
-    overlaps a strong one is not reported. Only rows with weak spans are joined.
+    """row (a struct of the columns in keep, by default all), base, linked and spans: arrays of (start, kind, stop), by start, then kind.
+
+    base are the strong spans, linked those of any kind that stand within reach
+    of what completes them, spans both together. kind counts in KINDS; positions
+    are code points, the stop exclusive. Null texts are empty. Every row gives
+    one row, repeated ones and null ids too; other columns, whatever their
+    names, pass in the struct. Only rows that have an identifier and a secret
+    are joined.
     """
-    base = [spans(F.col("t"), p, k, n, _SIGN.get(name)) for k, (name, (p, n)) in enumerate(BASE.items())]
-    weak = [spans(F.col("t"), p, len(BASE) + k, 0, _SIGN.get(name)) for k, (name, p) in enumerate(WEAK.items())]
-    found = documents.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*(keep or documents.columns)).alias("row"), F.coalesce("text", F.lit("")).alias("t"))
-    found = found.select("row_id", "row", F.array_sort(F.concat(*base)).alias("base"), F.concat(*weak).alias("weak"))
-    apart = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["stop"]) & (w["start"] < b["stop"])))
-    found = materialize(found.withColumn("weak", F.when(F.size("weak") > 0, apart).otherwise(F.col("weak"))), "spans")
-    plain = found.filter(F.size("weak") == 0).select("row", "base", F.col("base").alias("spans"))
-    joined = found.filter(F.size("weak") > 0).join(link_weak(found, reach), "row_id", "left")
-    return plain.unionByName(joined.select("row", "base", F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast(SPAN)))).alias("spans")))
+    found = documents.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*(keep or documents.columns)).alias("row"), all_parts(F.coalesce("text", F.lit(""))).alias("parts"))
+    found = materialize(found, "parts")
+    base, none = F.filter("parts", lambda s: s["kind"] < len(BASE)), F.array().cast(SPAN)
+    both = F.exists("parts", lambda s: _role(s["kind"]) == "id") & F.exists("parts", lambda s: _role(s["kind"]) == "secret")
+    joined = found.filter(both).join(link_parts(found.filter(both).select("row_id", "parts"), reach), "row_id", "left")
+    joined = joined.select("row", base.alias("base"), F.coalesce("linked", none).alias("linked"))
+    out = found.filter(~both).select("row", base.alias("base"), none.alias("linked")).unionByName(joined)
+    return out.withColumn("spans", F.array_sort(F.array_union("base", "linked")))
+
+
+def credentials(span_list: str | Column, reach: int = 200) -> Column:
+    """How many credentials sorted linked spans make: spans with gaps of at most reach between them are of one."""
+    first = F.struct(F.lit(-1 - (1 << 40)).cast("bigint").alias("stop"), F.lit(0).cast("bigint").alias("n"))
+    return F.aggregate(span_list, first, lambda a, s: F.struct(F.greatest(a["stop"], s["stop"]).alias("stop"), (a["n"] + (s["start"] - a["stop"] > reach).cast("int")).alias("n")), lambda a: a["n"])
 
 
 def spell(span_list: str | Column) -> Column:
@@ -119,13 +172,63 @@ def spell(span_list: str | Column) -> Column:
 
 
 def redact(text: Column, span_list: Column, mask: str = "[redacted]") -> Column:
-    """Text with each run of overlapping spans replaced by the mask."""
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    """Text with each run of overlapping spans replaced by the mask; what is left of the text is walked through once."""
+    first = F.struct(F.lit(0).cast("bigint").alias("at"), text.alias("rest"), F.lit("").alias("out"))
 
     def step(acc, s):
         gap = s["start"] - acc["at"]
-        told = F.when(gap >= 0, F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), gap.cast("int")), F.lit(mask))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), told.alias("out"))
+        stop = F.greatest(acc["at"], s["stop"])
+        told = F.when(gap >= 0, F.concat(acc["out"], F.substring(acc["rest"], F.lit(1), gap.cast("int")), F.lit(mask))).otherwise(acc["out"])
+        return F.struct(stop.alias("at"), F.substring(acc["rest"], (stop - acc["at"] + 1).cast("int"), F.length(text)).alias("rest"), told.alias("out"))
 
-    done = F.aggregate(span_list, first, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    done = F.aggregate(span_list, first, step, lambda acc: F.concat(acc["out"], acc["rest"]))
     return F.when(F.size(span_list) > 0, done).otherwise(text)
+
+
+def oracle_sql(reach: int = 200) -> str:
+    """DuckDB SQL for the rows of op3: all pairs of parts of a document, without bins."""
+
+    def family(pattern: str, kind: str) -> str:
+        p = pattern.replace("'", "''")
+        cut = f"unnest(regexp_extract_all(t, '{p}')) AS m, unnest(string_split_regex(t, '{p}')[:len(regexp_extract_all(t, '{p}'))]) AS gap, generate_subscripts(regexp_extract_all(t, '{p}'), 1) AS k"
+        value = f"length(regexp_extract(m, '{p}', 1))"
+        return f"SELECT doc_id, stop - length(m) AS start, stop, {kind.replace('VALUE', value)} AS kind FROM (SELECT doc_id, m, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY k) AS stop FROM (SELECT doc_id, {cut} FROM texts))"
+
+    def k(name: str) -> int:
+        return KINDS.index(name)
+
+    token = " ".join(f"WHEN regexp_full_match(m, '{p}') THEN {k(n)}" for p, n in ((SESSION_ID, "session_id"), (MAIL, "mail"), (ENDPOINT, "endpoint")))
+    mixed = " AND ".join(f"regexp_matches(m, '{c}')" for c in ("[A-Z]", "[a-z]", "[0-9]")) + f" AND regexp_full_match(m, '{OPAQUE}')"
+    families = [
+        family(ASSIGN, f"CASE WHEN VALUE >= 8 THEN {k('assign')} WHEN VALUE >= 4 THEN {k('short_value')} END"),
+        family(ACCESS, f"CASE WHEN length(m) >= 16 THEN {k('access')} WHEN length(m) >= 8 THEN {k('short_access')} END"),
+        family(HEX, f"CASE WHEN length(m) >= 32 THEN {k('hex')} ELSE {k('short_hex')} END"),
+        family(LOGIN, f"CASE WHEN VALUE >= 3 THEN {k('login')} END"),
+        family(TOKEN, f"CASE {token} WHEN {mixed} THEN {k('opaque')} END"),
+    ]
+    names = "[" + ", ".join(f"'{x}'" for x in KINDS) + "]"
+    roles = "[" + ", ".join(f"'{x}'" for x in ROLES.values()) + "]"
+    spelled = f"({names})[kind + 1] || ':' || start || ':' || stop"
+    apart = f"a.role <> b.role AND greatest(a.start, b.start) - least(a.stop, b.stop) <= {reach}"
+    under = f"a.kind >= {len(BASE)} AND b.kind < {len(BASE)} AND greatest(a.start, b.start) < least(a.stop, b.stop)"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({' UNION ALL '.join(families)}),
+parts AS (SELECT doc_id, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, kind, ({roles})[kind + 1] AS role FROM found WHERE kind IS NOT NULL),
+tally AS (
+  SELECT a.doc_id, a.start, a.stop, a.kind, a.role, bool_or({apart} AND b.role = 'id') AS has_id, bool_or({apart} AND b.role = 'secret') AS has_secret, bool_or({under}) AS under
+  FROM parts a JOIN parts b ON a.doc_id = b.doc_id GROUP BY ALL
+), linked AS (
+  SELECT doc_id, start, stop, kind FROM tally WHERE NOT under AND CASE role WHEN 'id' THEN has_secret WHEN 'secret' THEN has_id ELSE has_id AND has_secret END
+), chained AS (
+  SELECT doc_id, coalesce(start - max(stop) OVER (PARTITION BY doc_id ORDER BY start, kind, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > {reach}, true) AS new FROM linked
+), heads AS (SELECT doc_id, count(*) AS n_linked, count_if(new) AS n_credentials FROM chained GROUP BY doc_id),
+base AS (
+  SELECT doc_id, count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex, string_agg({spelled}, ',' ORDER BY start, kind) AS spelled FROM parts WHERE kind < {len(BASE)} GROUP BY doc_id
+), every AS (
+  SELECT doc_id, string_agg({spelled}, ',' ORDER BY start, kind) AS spelled FROM (SELECT doc_id, start, stop, kind FROM parts WHERE kind < {len(BASE)} UNION SELECT doc_id, start, stop, kind FROM linked) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base.spelled, '')) AS base_sha256,
+  coalesce(every.spelled, '') AS spans, coalesce(n_linked, 0) AS n_linked, CAST(coalesce(n_credentials, 0) AS BIGINT) AS n_credentials
+FROM texts LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id) LEFT JOIN heads USING (doc_id)
+"""
