@@ -1,8 +1,12 @@
 """A training corpus from raw documents, in five stages over the columns of documents.
 
 Each stage works on all that the one before it kept, and is written as Parquet
-to the shared folder and read again as the next one's input. Write a stage's
-result before the next one is called: that drops the earlier one's scratch tables.
+to the shared folder and read again as the next one's input. run() drops a
+stage's scratch tables and its input as soon as its result is written; those of
+the last stage go with the application.
+
+Every stage takes null values in any column, empty texts, repeated rows, empty
+tables and columns of any further names, and says what becomes of them.
 """
 
 from __future__ import annotations
@@ -13,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftscan.llm import langid, mixing, neardup, packing, secrets
-from driftscan.session import drop_path, load, materialize, scratch_mark, scratch_since, ship
+from driftscan.session import drop_path, load, materialize, scratch_tables, ship
 
 #: A document's best language must have this share of its positions; less is undetermined.
-LEAST_SCORE = 0.34
+LEAST_SCORE = 0.3
 #: Expected tokens of each domain that stay, as shares of what there is.
 FACTORS = {"good": 1.0, "good_toxic": 0.0, "low": 0.5, "low_toxic": 0.0}
 
@@ -31,14 +35,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at a similarity of 0.8, that of the least doc_id stays; of rows with one doc_id, one. Rows without an id stay."""
+    """Of documents linked at a similarity of 0.8, that of the least doc_id stays. Rows without an id stay.
+
+    Rows with one doc_id are one document; where it stays, so do all its rows
+    that differ, and one of those that are equal in every column.
+    """
     ship(spark)
-    found = materialize(neardup.near_duplicates(docs, percent=80).filter("doc_id is not null").select("doc_id", "kept"), "kept")
-    stay = found.filter("kept").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(stay, "doc_id", "left_semi")
-    if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        named = named.dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    found = neardup.near_duplicates(docs, percent=80).filter("doc_id is not null")
+    gone = materialize(found.filter("not kept").select("doc_id").distinct(), "gone")
+    few = gone.count() <= neardup.MOST_BROADCAST
+    named = docs.filter("doc_id is not null").join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if not repeated.isEmpty():
+        repeated = materialize(repeated, "repeated")
+        named = named.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(named.join(repeated, "doc_id", "left_semi").select(*docs.columns).distinct())
+    return named.unionByName(docs.filter("doc_id is null"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,34 +74,23 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-_held: list[str] = []
-
-
-def _tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """The stage, which first drops the scratch tables of the one before it: that one's result has been written by now."""
-
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _held:
-            drop_path(spark, _held.pop())
-        mark = scratch_mark()
-        out = stage(spark, docs, sf_dir)
-        _held.extend(scratch_since(mark))
-        return out
-
-    return run_stage
-
-
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", _tidy(language)),
-    ("near_duplicates", _tidy(near_duplicates)),
-    ("secret_scan", _tidy(secret_scan)),
-    ("mixing", _tidy(mixture)),
-    ("packing", _tidy(packed)),
+    ("language_id", language),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("mixing", mixture),
+    ("packing", packed),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    docs, done = load(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scratch_tables() as made:
+            out = stage(spark, docs, sf_dir)
+            used = [*done, *made]
+            docs = materialize(out, name)
+            done = made[-1:]
+        for path in used:
+            drop_path(spark, path)
     return STAGES[-1][1](spark, docs, sf_dir)
