@@ -4,12 +4,15 @@ A classifier fitted on the labelled table gives every document a posterior over
 domains. Nonnegative document rates are then fitted by projected-gradient least
 squares, so that the expected tokens of each domain match its target. With the
 gradient scaled by documents' tokens and each domain's error by its total, the
-step size is one; an iteration is one aggregation to one number a domain, and a
-document's rate is a function of its posterior and of those numbers.
+step size is one; steps are accelerated by momentum. An iteration is one
+aggregation to a few numbers a domain, and a document's rate is a function of
+its posterior and of those numbers.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,61 +29,85 @@ def fit_domains(documents: DataFrame, labels: DataFrame, max_labelled: int = 800
 
 def domain_posteriors(documents: DataFrame, models: dict[str, evidence.NaiveBayes], keep: list[str] | None = None) -> DataFrame:
     """row (a struct of the columns in keep, by default all), tokens (words) and p: posteriors of DOMAINS, in that order."""
-    marked = evidence.words_and_marks(documents.select(F.struct(*(keep or documents.columns)).alias("row"), "text"))
+    marked = evidence.words_and_style(documents.select(F.struct(*(keep or documents.columns)).alias("row"), "text"))
     odds = marked.select("row", F.col("n_words").alias("tokens"), *(evidence.sigmoid(evidence.log_odds(m)).alias(t) for t, m in models.items()))
     q, t = F.col("quality"), F.col("toxic")
     return odds.select("row", "tokens", F.array(q * (1 - t), q * t, (1 - q) * (1 - t), (1 - q) * t).alias("p"))
 
 
-def rate_after(steps: list[list[float]]) -> Column:
-    """The rate of a document with posterior p after the gradient steps whose relative errors are given."""
-    rate = F.lit(1.0)
+def _stepped(state: Column, steps: list[tuple[float, list[float]]], most: float | None) -> Column:
+    """state (a struct of rate, ahead and moved) after further steps: each goes from ahead along its errors, projects, and looks ahead by its momentum."""
     if not steps:
-        return rate
-    table = F.expr("array(" + ", ".join("array(" + ", ".join(f"{x!r}D" for x in e) + ")" for e in steps) + ")")
+        return state
+    table = F.expr("array(" + ", ".join(f"named_struct('m', {m!r}D, 'e', array({', '.join(f'{x!r}D' for x in e)}))" for m, e in steps) + ")")
+
+    def step(s: Column, x: Column) -> Column:
+        moved = s["ahead"] - F.aggregate(F.zip_with("p", x["e"], lambda a, b: a * b), F.lit(0.0), lambda t, y: t + y)
+        moved = F.greatest(F.lit(0.0), moved) if most is None else F.greatest(F.lit(0.0), F.least(F.lit(float(most)), moved))
+        # a lambda of its own: the projected rate stands in it twice
+        return F.transform(F.array(moved), lambda r: F.struct(r.alias("rate"), (r + x["m"] * (r - s["rate"])).alias("ahead"), F.abs(r - s["rate"]).alias("moved")))[0]
+
+    return F.aggregate(table, state, step)
+
 
-    def step(r: Column, e: Column) -> Column:
-        return F.greatest(F.lit(0.0), r - F.aggregate(F.zip_with("p", e, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x))
+def _first() -> Column:
+    return F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"), F.lit(0.0).alias("moved"))
 
-    return F.aggregate(table, rate, step)
 
+def rate_after(steps: list[tuple[float, list[float]]], most: float | None = None) -> Column:
+    """The rate of a document with posterior p after the given steps (momentum, relative errors of the domains)."""
+    return _stepped(_first(), steps, most)["rate"]
 
-def fit_rates(posteriors: DataFrame, targets: list[float], most_steps: int = 40, tolerance: float = 1e-3) -> tuple[list[list[float]], dict]:
-    """The gradient steps for rate_after(), and a report of totals, targets, what is reached and the number of steps.
+
+def fit_rates(posteriors: DataFrame, targets: list[float], most: float | None = None, most_steps: int = 60, tolerance: float = 1e-3, block: int = 8) -> tuple[list[tuple[float, list[float]]], dict]:
+    """The accelerated gradient steps for rate_after(), and a report.
 
     posteriors has tokens and p; targets are expected tokens by domain, in the
-    order of p. The fit ends when every domain is within tolerance of its target,
-    relative to the larger of target and initial total, when a step moves no
-    domain by a tenth of the tolerance, or after most_steps.
+    order of p; most bounds the rates from above. The fit ends when every domain
+    is within tolerance of its target, relative to the larger of target and
+    initial total, or when a step moves no document's rate by the tolerance,
+    which is where the rates that least squares allow have been reached. The
+    report names totals, targets, what is reached, the number of steps, and
+    whether the fit had settled before most_steps. Rates so far are written every
+    `block` steps, so that a step's cost does not grow with their number.
     """
     n = len(targets)
+    now, at = posteriors.select("tokens", "p", _first().alias("state")), 0
 
-    def totals(rate: Column) -> list[float]:
-        rated = posteriors.select("p", (rate * F.col("tokens")).alias("kept"))
-        r = rated.agg(*(F.sum(F.col("kept") * F.col("p")[k]).alias(f"d{k}") for k in range(n))).first()
-        return [float(x or 0.0) for x in r]
+    def totals(steps: list) -> tuple[list[float], list[float], float]:
+        rated = now.select("tokens", "p", "state", _stepped(F.col("state"), steps, most).alias("next"))
+        sums = [F.sum(F.col("tokens") * F.col(f"next.{c}") * F.col("p")[k]).alias(f"{c}{k}") for c in ("rate", "ahead") for k in range(n)]
+        r = [float(x or 0.0) for x in rated.agg(*sums, F.max("next.moved").alias("moved")).first()]
+        return r[:n], r[n : 2 * n], r[-1]
 
-    start = now = totals(F.lit(1.0))
+    reached, ahead, _ = totals([])
+    start = reached
     scale = [max(1.0, a) for a in start]
-    steps: list[list[float]] = []
-    while len(steps) < most_steps:
-        errors = [(a - b) / s for a, b, s in zip(now, targets, scale, strict=True)]
-        if max((abs(e) * s / max(s, b) for e, b, s in zip(errors, targets, scale, strict=True)), default=0) <= tolerance:
-            break
-        steps.append(errors)
-        last, now = now, totals(rate_after(steps))
-        if max((abs(a - b) / s for a, b, s in zip(last, now, scale, strict=True)), default=0) <= tolerance / 10:
+    steps: list[tuple[float, list[float]]] = []
+    theta, settled = 1.0, False
+    while not settled:
+        settled = all(abs(a - b) <= tolerance * max(s, b) for a, b, s in zip(reached, targets, scale, strict=True))
+        if settled or len(steps) >= most_steps:
             break
-    return steps, {"start": start, "targets": targets, "reached": now, "steps": len(steps)}
+        nearer = (1 + math.sqrt(1 + 4 * theta * theta)) / 2
+        momentum, theta = (theta - 1) / nearer, nearer
+        steps.append((momentum, [(a - b) / s for a, b, s in zip(ahead, targets, scale, strict=True)]))
+        reached, ahead, moved = totals(steps[at:])
+        settled = moved <= tolerance
+        if len(steps) - at == block:
+            now, at = materialize(now.select("tokens", "p", _stepped(F.col("state"), steps[at:], most).alias("state")), "rates"), len(steps)
+    return steps, {"start": start, "targets": targets, "reached": reached, "steps": len(steps), "settled": settled}
 
 
-def mix(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, factors: dict[str, float] | None = None, keep: list[str] | None = None, max_labelled: int = 8000) -> tuple[DataFrame, dict]:
+def mix(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, factors: dict[str, float] | None = None, keep: list[str] | None = None, max_labelled: int = 8000, most: float | None = None) -> tuple[DataFrame, dict]:
     """row (a struct of the columns in keep, by default all), tokens, p and rate for every row, and the report of fit_rates.
 
     Targets are either weights, shares of the present number of tokens, or
     factors of each domain's present expected tokens. Null and empty texts have
-    no tokens; their rate follows their posterior like any other's. Rates are an
-    expression over the text, so that rows pass without a shuffle.
+    no tokens; their rate follows their posterior like any other's, rows with one
+    id or none too, and equal rows have equal rates. most bounds the rates from
+    above. Rates are an expression over the text, so that rows pass without a
+    shuffle.
     """
     models = fit_domains(documents, labels, max_labelled)
     post = materialize(domain_posteriors(documents, models, ["doc_id"]), "posteriors")
@@ -91,14 +118,16 @@ def mix(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | Non
         targets = [sum(have) * weights.get(d, 0.0) / share for d in DOMAINS]
     else:
         targets = [h * (factors or {}).get(d, 1.0) for d, h in zip(DOMAINS, have, strict=True)]
-    steps, report = fit_rates(post, targets)
+    steps, report = fit_rates(post, targets, most)
     rows = post if keep == ["doc_id"] else domain_posteriors(documents, models, keep)
-    return rows.withColumn("rate", rate_after(steps)), report
+    return rows.withColumn("rate", rate_after(steps, most)), report
 
 
-def apply_rates(rated: DataFrame, near_one: float = 0.9) -> DataFrame:
-    """The rows that rates of at most one keep: all from near_one up, of the others the share that the rate names, by a hash of the row."""
+def apply_rates(rated: DataFrame) -> DataFrame:
+    """The rows as often as their rates say: the whole part always, once more with the probability of the rest, by a hash of the row.
+
+    Equal rows fall alike; rates of 1 keep every row once, those of 0 none.
+    """
     draw = F.pmod(F.xxhash64(F.col("row")), F.lit(1 << 20)) / float(1 << 20)
-    # the number keeps the planner from moving the test below the expressions it rests on, which would repeat them
-    numbered = rated.withColumn("number", F.monotonically_increasing_id())
-    return numbered.filter(((F.col("rate") >= near_one) | (draw < F.col("rate"))) & (F.col("number") >= 0)).select("row.*")
+    copies = F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("int")
+    return rated.select("row", F.explode(F.array_repeat(F.lit(True), copies.cast("int")))).select("row.*")

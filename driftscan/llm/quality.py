@@ -35,7 +35,9 @@ def _logit(p: Column) -> Column:
 def combine_sites(scored: DataFrame, label: str = "quality") -> DataFrame:
     """scored (host, path and {label}_odds beside other columns) with {label}_host, {label}_path and {label}_score.
 
-    Null hosts and paths are groups like others. Only group tables are joined;
+    Null hosts and paths are groups like others; a row that is the only one of its
+    site has its host's posterior, and of a host's only one the global mean. Other
+    columns pass, but for names that begin with two underscores. Only group tables are joined;
     they are written first, so that a hot host can be split in the join.
     """
     p = evidence.sigmoid(F.col(f"{label}_odds"))
@@ -44,14 +46,14 @@ def combine_sites(scored: DataFrame, label: str = "quality") -> DataFrame:
     hosts = materialize(sites.groupBy("__h").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("squares").alias("squares")), "hosts")
     whole = hosts.agg((F.sum("total") / F.sum("n")).alias("mean")).first()["mean"]
     mean, k_host, k_site = whole if whole is not None else 0.5, _strength(hosts), _strength(sites)
-    table = sites.select("__h", "__s", F.col("n").alias("n_site"), F.col("total").alias("t_site")).join(hosts.select("__h", F.col("n").alias("n_host"), F.col("total").alias("t_host")), "__h").drop("__h")
+    table = sites.select("__h", "__s", F.col("n").alias("__n_site"), F.col("total").alias("__t_site")).join(hosts.select("__h", F.col("n").alias("__n_host"), F.col("total").alias("__t_host")), "__h").drop("__h")
     joined = own.drop("__h").join(materialize(table, "site_table"), "__s")
-    host = (F.lit(k_host * mean) + F.col("t_host") - F.col("__p")) / (F.lit(k_host) + F.col("n_host") - 1)
+    host = (F.lit(k_host * mean) + F.col("__t_host") - F.col("__p")) / (F.lit(k_host) + F.col("__n_host") - 1)
     joined = joined.withColumn(f"{label}_host", host)
-    path = (F.lit(k_site) * F.col(f"{label}_host") + F.col("t_site") - F.col("__p")) / (F.lit(k_site) + F.col("n_site") - 1)
+    path = (F.lit(k_site) * F.col(f"{label}_host") + F.col("__t_site") - F.col("__p")) / (F.lit(k_site) + F.col("__n_site") - 1)
     joined = joined.withColumn(f"{label}_path", path)
     score = evidence.sigmoid(F.col(f"{label}_odds") + _logit(F.col(f"{label}_path")) - _logit(F.lit(float(mean))))
-    return joined.withColumn(f"{label}_score", score).drop("__p", "__s", "n_site", "t_site", "n_host", "t_host")
+    return joined.withColumn(f"{label}_score", score).drop("__p", "__s", "__n_site", "__t_site", "__n_host", "__t_host")
 
 
 def classify(documents: DataFrame, labels: DataFrame, host: Column, path: Column, max_labelled: int = 8000) -> DataFrame:
@@ -61,7 +63,7 @@ def classify(documents: DataFrame, labels: DataFrame, host: Column, path: Column
     The model is fitted on at most about max_labelled labelled documents.
     """
     models = evidence.fit(materialize(evidence.labelled_sample(documents, labels, max_labelled), "sample"), ("quality", "toxic"))
-    marked = evidence.words_and_marks(documents.select("doc_id", "text", host.alias("host"), path.alias("path")))
+    marked = evidence.words_and_style(documents.select("doc_id", "text", host.alias("host"), path.alias("path")))
     odds = [evidence.log_odds(m).alias(f"{t}_odds") for t, m in models.items()]
     scored = materialize(marked.select("doc_id", "host", "path", *odds), "scored")
     out = combine_sites(combine_sites(scored, "quality"), "toxic")
