@@ -28,7 +28,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: no letter, or no language with LEAST_SCORE."""
+    """Documents without a language go: no letter (null and empty texts too), or no language with LEAST_SCORE."""
     ship(spark)
     found = langid.identify(docs, langid.train(docs))
     return found.filter((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_SCORE)).select("row.*")
@@ -61,13 +61,18 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rates fitted to FACTORS decide which documents stay."""
-    rated, _ = mixing.mix(docs, load(spark, sf_dir, "labels"), factors=FACTORS)
+    """Rates from 0 to 1, fitted to FACTORS, decide which documents stay.
+
+    A document of rate 1 always stays, one of rate 0 never, and one between by a
+    hash of its row, so that equal rows go alike and a repeated run keeps the
+    same. Null and empty texts are rated by the marks of an empty text.
+    """
+    rated, _ = mixing.mix(docs, load(spark, sf_dir, "labels"), factors=FACTORS, most=1.0)
     return mixing.apply_rates(rated)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 ids."""
+    """Pieces of sequences of 2048 ids. Null and empty texts have their end id alone; repeated rows and null ids are documents of their own."""
     import public_tokenizers
 
     ship(spark)
