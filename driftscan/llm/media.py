@@ -40,12 +40,14 @@ def decode_netpbm(data: bytes) -> np.ndarray:
     if not (width and height and 0 < top < 65536):
         raise ValueError("Netpbm header has an impossible size")
     channels = 3 if kind in (3, 6) else 1
-    n = width * height * channels
+    n, left = width * height * channels, len(data) - at - 1
+    least = {1: n, 2: 2 * n - 1, 3: 2 * n - 1, 4: (width + 7) // 8 * height}.get(kind, n * (1 if top < 256 else 2))
+    if least > left + (kind < 4):  # told by the length, before anything of that size is made
+        raise ValueError("Netpbm samples end early")
     if kind == 1:
-        bits = re.sub(rb"#[^\r\n]*|\s", b"", data[at:])
-        a = np.frombuffer(bits[:n], np.uint8) - 48
+        a = np.frombuffer(re.sub(rb"#[^\r\n]*|\s", b"", data[at:])[:n], np.uint8) - np.uint8(48)
     elif kind in (2, 3):
-        a = np.array(re.sub(rb"#[^\r\n]*", b"", data[at:]).split()[:n], dtype=np.uint16)
+        a = np.array([int(x) for x in re.sub(rb"#[^\r\n]*", b"", data[at:]).split()[:n]], np.int64)
     elif kind == 4:
         row = (width + 7) // 8
         raw = np.frombuffer(data, np.uint8, row * height, at + 1).reshape(height, row)
@@ -54,6 +56,8 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         a = np.frombuffer(data, np.uint8 if top < 256 else ">u2", n, at + 1)
     if a.size != n:
         raise ValueError("Netpbm samples end early")
+    if a.min() < 0 or a.max() > top:
+        raise ValueError("Netpbm sample out of range")
     if kind in (1, 4):
         a = (1 - a) * np.uint8(255)
     out = np.uint8 if top < 256 else np.uint16
@@ -68,6 +72,8 @@ def decode_bmp(data: bytes) -> np.ndarray:
     if packed not in (0, 3) or bits not in (1, 4, 8, 24, 32) or width <= 0 or height == 0:
         raise ValueError(f"BMP form not supported: {bits} bits, compression {packed}")
     rows, stride = abs(height), (width * bits + 31) // 32 * 4
+    if start + rows * stride > len(data):
+        raise ValueError("BMP rows end early")
     raw = np.frombuffer(data, np.uint8, stride * rows, start).reshape(rows, stride)
     if height > 0:
         raw = raw[::-1]
@@ -104,21 +110,32 @@ def encode_bmp(a: np.ndarray) -> bytes:
     return head + struct.pack("<I i i H H I I i i I I", 40, w, h, 1, 24, 0, body.size, 2835, 2835, 0, 0) + body.tobytes()
 
 
+def integral_rows(a: np.ndarray, rows: np.ndarray, block: int = 4096) -> np.ndarray:
+    """Rows of the summed-area table of a, each of which sums so many first rows; the table is never held whole."""
+    out, total = np.zeros((len(rows), a.shape[1] + 1, a.shape[2])), np.zeros(a.shape[1:])
+    for lo in range(0, a.shape[0], block):
+        part = np.cumsum(a[lo : lo + block], axis=0, dtype=np.float64) + total
+        here = np.flatnonzero((rows > lo) & (rows <= lo + len(part)))
+        out[here, 1:] = np.cumsum(part[rows[here] - lo - 1], axis=1)
+        total = part[-1]
+    return out
+
+
 def area_resize(a: np.ndarray, height: int, width: int) -> np.ndarray:
     """Mean over each target cell's exact area, by a summed-area table read at fractional corners; float64."""
     h, w = a.shape[:2]
-    table = np.zeros((h + 1, w + 1, a.shape[2]))
-    np.cumsum(np.cumsum(a, axis=0, dtype=np.float64), axis=1, out=table[1:, 1:])
 
-    def at(t: np.ndarray, edge: np.ndarray, axis: int) -> np.ndarray:
-        low = np.minimum(edge.astype(np.int64), t.shape[axis] - 1)
-        high = np.minimum(low + 1, t.shape[axis] - 1)
-        part = (edge - low).reshape([-1 if i == axis else 1 for i in range(3)])
-        return np.take(t, low, axis) * (1 - part) + np.take(t, high, axis) * part
+    def corners(size: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        edge = np.arange(parts + 1) * (size / parts)
+        low = np.minimum(edge.astype(np.int64), size)
+        return low, np.minimum(low + 1, size), (edge - low)[:, None, None]
 
-    ys, xs = np.arange(height + 1) * (h / height), np.arange(width + 1) * (w / width)
-    corners = at(at(table, ys, 0), xs, 1)
-    return np.diff(np.diff(corners, axis=0), axis=1) / ((h / height) * (w / width))
+    low, high, part = corners(h, height)
+    table = integral_rows(a, low) * (1 - part) + integral_rows(a, high) * part
+    low, high, part = corners(w, width)
+    part = part.reshape(1, -1, 1)
+    table = table[:, low] * (1 - part) + table[:, high] * part
+    return np.diff(np.diff(table, axis=0), axis=1) / ((h / height) * (w / width))
 
 
 def difference_hash(a: np.ndarray, size: int = 8) -> str:
@@ -151,22 +168,33 @@ def _describe(data: bytes | None, side: int, tile: int, keep_samples: bool) -> t
         thumb = np.clip(np.rint(area_resize(a, side, side)), 0, np.iinfo(a.dtype).max).astype(a.dtype)
         cut = [{"ty": y, "tx": x, "npy": b} for y, x, b in tiles(a, tile)] if tile else None
         return (*a.shape, a.dtype.name, npy(thumb), difference_hash(a), a.tobytes() if keep_samples else None, cut, None)
-    except (ValueError, struct.error, IndexError) as e:
+    except (ValueError, OverflowError, MemoryError, struct.error, IndexError) as e:
         return (*[None] * 8, str(e)[:200] or "undecodable")
 
 
-def media_features(df: DataFrame, media: str = "media", side: int = 16, tile: int = 256, keep_samples: bool = False) -> DataFrame:
-    """Adds one struct column `features` (see FEATURE_SCHEMA) computed from the files in column media.
+_FEATURES = pa.struct(
+    [("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("dtype", pa.string()), ("thumbnail", pa.binary()), ("dhash", pa.string()), ("samples", pa.binary())]
+    + [("tiles", pa.list_(pa.struct([("ty", pa.int32()), ("tx", pa.int32()), ("npy", pa.binary())]))), ("error", pa.string())]
+)
+
+
+def media_features(df: DataFrame, media: str = "media", side: int = 16, tile: int = 256, keep_samples: bool = False, out: str = "features") -> DataFrame:
+    """Adds one struct column `out` (see FEATURE_SCHEMA) computed from the files in column media.
 
-    One row in, one row out; other columns pass unchanged, whatever their
-    names. tile=0 leaves the tiles out. Equal files give equal features.
+    One row in, one row out, repeated rows too; other columns pass unchanged,
+    whatever their names, and one of the name `out` is an error. tile=0 leaves
+    the tiles out. Equal files give equal features; null, empty and damaged ones
+    a struct that has only `error`.
     """
+    if out in df.columns:
+        raise ValueError(f"there is a column {out} already")
 
-    @F.udf(FEATURE_SCHEMA, useArrow=False)
-    def describe(data):
-        return _describe(None if data is None else bytes(data), side, tile, keep_samples)
+    def describe(files: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for array in files:
+            rows = [_describe(x.as_py(), side, tile, keep_samples) for x in array]
+            yield pa.array([dict(zip((f.name for f in _FEATURES), r, strict=True)) for r in rows], _FEATURES)
 
-    return df.withColumn("features", describe(F.col(media)))
+    return df.withColumn(out, F.arrow_udf(describe, FEATURE_SCHEMA)(F.col(media)))
 
 
 def text_to_media(payload: bytes) -> bytes:
