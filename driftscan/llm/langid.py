@@ -161,8 +161,11 @@ def pad(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(codes), (np.arange(longest)[:, None] < np.array([len(x) for x in words])[None, :]).astype(np.float32)
 
 
-def fit(segments: list[bytes], labels: list[str], hidden: int = 8, segment: int = 128, epochs: int = 4, batch: int = 256, rate: float = 0.02, seed: int = 7) -> ByteGRU:
-    """A network for the languages among labels; each language weighs alike. Adam, deterministic for one seed."""
+def fit(segments: list[bytes], labels: list[str], hidden: int = 8, segment: int = 128, updates: int = 160, batch: int = 256, rate: float = 0.02, seed: int = 7) -> ByteGRU:
+    """A network for the languages among labels; each language weighs alike. Adam with a falling rate, deterministic for one seed.
+
+    The number of updates is the same for a small sample, which is gone through more often.
+    """
     langs = sorted(set(labels))
     rng = np.random.default_rng(seed)
     net = ByteGRU(
@@ -176,14 +179,14 @@ def fit(segments: list[bytes], labels: list[str], hidden: int = 8, segment: int
     y = np.array([langs.index(x) for x in labels])
     per_class = (len(y) / (len(langs) * np.maximum(1, np.bincount(y, minlength=len(langs))))).astype(np.float32)
     at, moments = 0, {}
-    for epoch in range(epochs):
+    while at < updates:
         order = rng.permutation(len(segments))
-        for lo in range(0, len(order), batch):
+        for lo in range(0, len(order), batch)[: updates - at]:
             k = order[lo : lo + batch]
             codes, mask = pad([segments[i] for i in k])
             _, grads = net.gradients(codes, mask, y[k], per_class[y[k]])
+            step = rate * 0.5 ** (4 * at / updates)
             at += 1
-            step = rate * (0.5**epoch)
             held = {"out": net.out, "bias": net.bias, "w0": net.w[0], "w1": net.w[1], "u0": net.u[0], "u1": net.u[1]}
             for name, g in grads.items():
                 g = np.clip(g, -1, 1)
@@ -199,8 +202,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_segments(documents: DataFrame, max_docs: int = 2400, per_doc: int = 4, segment: int = 64, seed: int = 7) -> tuple[list[bytes], list[str]]:
-    """A bounded sample for fit(): about max_docs documents by the hash of their ids, an equal number of each language where there are as many, and per_doc segments of each at places drawn over the whole text.
+def training_segments(documents: DataFrame, max_docs: int = 2400, max_segments: int = 9600, segment: int = 64, seed: int = 7) -> tuple[list[bytes], list[str]]:
+    """A bounded sample for fit(): about max_docs documents by the hash of their ids, an equal number of each language where there are as many, and about max_segments segments of them, at most 64 of one, at places drawn over the whole text.
 
     Only rows with a text and a language take part, and none that is held out.
     """
@@ -208,6 +211,7 @@ def training_segments(documents: DataFrame, max_docs: int = 2400, per_doc: int =
     n = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("lang").alias("n")).collect()}
     if not n:
         return [], []
+    per_doc = max(1, min(64, max_segments // min(max_docs, sum(n.values()))))
     cut = reduce(lambda c, lang: c.when(F.col("lang") == lang, int(min(1.0, max_docs / len(n) / n[lang]) * 2**31)), sorted(n), F)
 
     def draw(batches):

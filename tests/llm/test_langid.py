@@ -7,7 +7,7 @@ from driftscan.session import load
 
 
 def test_gradients_are_those_of_the_loss():
-    net = langid.fit([b"abc", b"xyz", b"abx"], ["p", "q", "p"], hidden=3, epochs=1, batch=3)
+    net = langid.fit([b"abc", b"xyz", b"abx"], ["p", "q", "p"], hidden=3, updates=1, batch=3)
     codes, mask = langid.pad([b"abca", b"xy", b"zz"])
     labels, weights = np.array([0, 1, 1]), np.ones(3, np.float32)
     for arr in (net.out, net.u[0], net.u[1], net.w[0], net.w[1], net.bias):
@@ -49,7 +49,7 @@ def test_edges(spark):
 
 def test_scores_are_those_of_a_pass_byte_by_byte():
     words = [b"the fox and", b"der fuchs und", b"le renard", b"el zorro"] * 20
-    net = langid.fit(words, ["en", "de", "fr", "es"] * 20, hidden=5, segment=16, epochs=2)
+    net = langid.fit(words, ["en", "de", "fr", "es"] * 20, hidden=5, segment=16, updates=4)
     texts = [b"The fox, and", b"le renard le " * 7, b"", b"a" * 100, "éß und".encode(), b"x" * 16, b"y" * 32]
     got = net.probabilities(texts, rows=3)
     each = np.concatenate([net.probabilities([t]) for t in texts])
@@ -79,5 +79,5 @@ def test_scores_are_those_of_a_pass_byte_by_byte():
 def test_rare_languages_are_learned(spark):
     rows = [(k, "some english words here", "en") for k in range(2000)] + [(5000 + k, "mots rares en texte", "fr") for k in range(12)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    _, langs = langid.training_segments(df, max_docs=100)
+    _, langs = langid.training_segments(df, max_docs=100, max_segments=400)
     assert langs.count("fr") >= 12 and langs.count("en") < 400
