@@ -12,6 +12,8 @@ and no stack, whatever the text.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,11 @@ BASE = KINDS[:3]
 SPAN = "array<struct<start:bigint,kind:int,stop:bigint>>"
 
 
+def _let(value: Column, f) -> Column:
+    """f(value), with value computed once however often f uses it: bound by a lambda, wherever the planner moves the expression."""
+    return F.transform(F.array(value), f)[0]
+
+
 def prefix_sums(a: Column) -> Column:
     """Inclusive running sums of an array of longs, block by block, so that long arrays are not copied once an element."""
     zero, none = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
@@ -54,21 +61,31 @@ def prefix_sums(a: Column) -> Column:
         first = F.struct(start.alias("s"), none.alias("xs"))
         return F.aggregate(xs, first, lambda acc, x: F.struct((acc["s"] + x).alias("s"), F.concat(acc["xs"], F.array(acc["s"] + x)).alias("xs")), lambda acc: acc["xs"])
 
-    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(a) / 128).cast("int") - 1), lambda b: F.slice(a, b * 128 + 1, F.lit(128)))
-    sums = scan(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda s, x: s + x)), zero)
-    starts = F.concat(F.array(zero), sums)
-    return F.when(F.size(a) > 0, F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), scan))).otherwise(none)
+    def joined(blocks: Column) -> Column:
+        sums = scan(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda s, x: s + x)), zero)
+        starts = F.concat(F.array(zero), sums)
+        return F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), scan))
+
+    def cut(xs: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(xs) / 128).cast("int") - 1), lambda b: F.slice(xs, b * 128 + 1, F.lit(128)))
+        return F.when(F.size(xs) > 0, _let(blocks, joined)).otherwise(none)
+
+    return _let(a, cut)
 
 
-def matches(text: Column, pattern: str, sign: str | None = None) -> Column:
-    """start, stop (code points, the stop exclusive) and match of all matches; `sign` is what no match can do without."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    lengths = F.transform(found, lambda m: F.length(m).cast("bigint"))
-    between = F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), lambda p: F.length(p).cast("bigint"))
-    ends = prefix_sums(F.zip_with(between, lengths, lambda a, b: a + b))
-    all_spans = F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("stop"), m.alias("match")))
+def matches(text: Column, pattern: str, sign: Column) -> Column:
+    """start, stop (code points, the stop exclusive) and match of all matches; `sign` is what no text with a match can do without."""
+
+    def length(x: Column) -> Column:
+        return F.length(x).cast("bigint")
+
+    def placed(x: Column) -> Column:
+        ends = prefix_sums(F.zip_with(F.slice(x["between"], F.lit(1), F.size(x["found"])), x["found"], lambda p, m: length(p) + length(m)))
+        return F.zip_with(ends, x["found"], lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("stop"), m.alias("match")))
+
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between"))
     none = F.array().cast("array<struct<start:bigint,stop:bigint,match:string>>")
-    return F.when(text.rlike(sign or pattern), all_spans).otherwise(none)
+    return F.when(sign & text.rlike(pattern), _let(both, placed)).otherwise(none)
 
 
 def _kind(name: str) -> Column:
@@ -95,13 +112,18 @@ def all_parts(text: Column) -> Column:
             out = out.when(m.rlike(rf"\A(?:{pattern})\z"), _kind(name))
         return out.when(mixed, _kind("opaque"))
 
+    def has(*words: str) -> Column:
+        return reduce(lambda a, b: a | b, (F.contains(text, F.lit(w)) for w in words))
+
+    set_of = has(":", "=")
+    whole = has("@", "://", ".amazonaws.com", ".internal", ".local", "ASIA", "AIDA", "AROA", "AGPA", "ANPA") | text.rlike(OPAQUE)
     return F.array_sort(
         F.concat(
-            _spans(matches(text, ASSIGN, _KEYS), lambda m: F.when(value(m, ASSIGN) >= 8, _kind("assign")).when(value(m, ASSIGN) >= 4, _kind("short_value"))),
-            _spans(matches(text, ACCESS), lambda m: F.when(F.length(m) >= 16, _kind("access")).when(F.length(m) >= 8, _kind("short_access"))),
-            _spans(matches(text, HEX), lambda m: F.when(F.length(m) >= 32, _kind("hex")).otherwise(_kind("short_hex"))),
-            _spans(matches(text, LOGIN, _NAMES), lambda m: F.when(value(m, LOGIN) >= 3, _kind("login"))),
-            _spans(matches(text, TOKEN), token),
+            _spans(matches(text, ASSIGN, set_of), lambda m: _let(value(m, ASSIGN), lambda n: F.when(n >= 8, _kind("assign")).when(n >= 4, _kind("short_value")))),
+            _spans(matches(text, ACCESS, has("AKIA")), lambda m: F.when(F.length(m) >= 16, _kind("access")).when(F.length(m) >= 8, _kind("short_access"))),
+            _spans(matches(text, HEX, F.lit(True)), lambda m: F.when(F.length(m) >= 32, _kind("hex")).otherwise(_kind("short_hex"))),
+            _spans(matches(text, LOGIN, set_of), lambda m: F.when(value(m, LOGIN) >= 3, _kind("login"))),
+            _spans(matches(text, TOKEN, whole), token),
         )
     )
 
