@@ -227,3 +227,31 @@ def density(count, factor, volume: float = 340.0) -> Column:
 def subsample_factor(hits, misses) -> Column:
     total = _c(hits) + _c(misses)
     return F.when(total == 0, 0.0).otherwise(_c(hits) / F.nullif(total, F.lit(0)))
+
+
+# --- paths, names and numbers for reports -----------------------------------------
+
+
+def portable_path(path) -> Column:
+    """A path with a drive letter as it is mounted elsewhere, `C:\\a\\b` as `/mnt/c/a/b`; of others only the separators change."""
+    p = F.replace(_c(path), F.lit("\\"), F.lit("/"))
+    return F.when(p.rlike("^[A-Za-z]:/"), F.concat(F.lit("/mnt/"), F.lower(F.substring(p, 1, 1)), F.substring(p, F.lit(3), F.length(p)))).otherwise(p)
+
+
+def drive_path(path) -> Column:
+    """The inverse of portable_path: `/mnt/c/a/b` as `C:\\a\\b`; other paths stay."""
+    p = _c(path)
+    inner = F.concat(F.upper(F.substring(p, 6, 1)), F.lit(":"), F.replace(F.substring(p, F.lit(7), F.length(p)), F.lit("/"), F.lit("\\")))
+    return F.when(p.rlike("^/mnt/[A-Za-z]/"), inner).otherwise(p)
+
+
+def strip_affixes(name, prefix: str = "", suffix: str = "") -> Column:
+    """name without prefix and suffix, where it has them."""
+    n = _c(name)
+    n = F.when(F.startswith(n, F.lit(prefix)), F.substring(n, F.lit(len(prefix) + 1), F.length(n))).otherwise(n)
+    return F.when(F.endswith(n, F.lit(suffix)), F.substring(n, F.lit(1), F.length(n) - len(suffix))).otherwise(n)
+
+
+def thousands(number, digits: int = 0) -> Column:
+    """A number with commas between thousands and so many digits after the point."""
+    return F.format_number(_c(number), digits)

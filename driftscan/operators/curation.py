@@ -44,8 +44,9 @@ def side_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def files_per_folder(files: DataFrame, path: str = "path") -> DataFrame:
+    """folder and n_files; files without a folder are counted under a null one."""
     p = F.replace(F.col(path), F.lit("\\"), F.lit("/"))
-    return files.groupBy(F.element_at(F.split(p, "/"), -2).alias("folder")).agg(F.count("*").alias("n_files"))
+    return files.groupBy(F.try_element_at(F.split(p, "/"), F.lit(-2)).alias("folder")).agg(F.count("*").alias("n_files"))
 
 
 def members_of(samples: DataFrame, members: DataFrame) -> DataFrame:

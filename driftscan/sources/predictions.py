@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from driftscan import functions as X
@@ -11,26 +15,28 @@ from driftscan import functions as X
 DOUBLES = ("density", "subsample_factor", "lat", "lon", "pred_id", "pred_conf", "total_counts")
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def read_detail(spark: SparkSession, paths: list[str], classes: list[str] | None = None) -> DataFrame:
     """Detail CSVs united by name. A second pred_conf column is dropped, `inf` is read as infinity, datetime is made from date and time.
 
     Files with fewer columns than classes are left out whole. Headers are read one
     line a file; files of one header are read together.
     """
-    from functools import reduce
-
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
         first = spark.read.text(path).first()
-        header = tuple(first[0].split(",")) if first else ()
+        header = tuple(next(csv.reader([first[0]]))) if first and first[0] else ()
         if header and (classes is None or len(header) >= len(classes)):
             by_header.setdefault(header, []).append(path)
     parts = []
     for header, files in by_header.items():
         names = [f"{h}__{k}" if header.index(h) != k else h for k, h in enumerate(header)]
-        df = spark.read.option("header", "true").option("enforceSchema", "true").schema(", ".join(f"`{n}` string" for n in names)).csv(files)
+        df = spark.read.option("header", "true").option("enforceSchema", "true").schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).csv(files)
         keep = [n for k, n in enumerate(names) if header.index(header[k]) == k]
-        df = df.select(*(F.when(F.lower(n).isin("inf", "infinity"), F.lit(float("inf"))).otherwise(F.col(n).try_cast("double")).alias(n) if n in DOUBLES or n.endswith("_conf") else F.col(n) for n in keep))
+        df = df.select(*(F.when(F.lower(_quoted(n)).isin("inf", "infinity"), F.lit(float("inf"))).otherwise(F.col(_quoted(n)).try_cast("double")).alias(n) if n in DOUBLES or n.endswith("_conf") else F.col(_quoted(n)) for n in keep))
         parts.append(df.withColumn("datetime", X.combine_datetime("date", "time")) if {"date", "time"} <= set(keep) else df)
     if not parts:
         raise ValueError("no file is complete")
