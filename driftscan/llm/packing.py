@@ -40,7 +40,7 @@ class WordIds(dict):
     Words are numbered as they come; flat[ends[k]:ends[k+1]] are the ids of word k.
     """
 
-    def __init__(self, path: str, cap_bytes: int = 24_000_000):
+    def __init__(self, path: str, cap_bytes: int = 48_000_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -134,8 +134,8 @@ def encoded(words: WordIds, rows: Iterable[tuple[int | None, bytes]], block_byte
 
     def flush() -> Iterator[tuple[int | None, np.ndarray]]:
         ids, stops = words.ids(list(chain.from_iterable(parts)))
-        ends = np.concatenate([[0], stops])[np.cumsum([len(p) for p in parts])]
-        return zip(docs, np.split(ids, ends[:-1]), strict=True)
+        ends = np.concatenate([[0], stops])[np.cumsum([0, *map(len, parts)])].tolist()
+        return ((doc, ids[a:b]) for doc, a, b in zip(docs, ends, ends[1:], strict=False))
 
     for doc, text in rows:
         if held and held + len(text) > block_bytes:
