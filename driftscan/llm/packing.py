@@ -122,10 +122,10 @@ class WordIds(dict):
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
+@lru_cache(maxsize=1)
+def word_ids(path: str, cap_bytes: int) -> WordIds:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
-    return WordIds(path)
+    return WordIds(path, cap_bytes)
 
 
 def encoded(words: WordIds, rows: Iterable[tuple[int | None, bytes]], block_bytes: int = 1_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
@@ -202,20 +202,21 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), _TYPES, strict=True)], schema=_TYPES)
 
 
-def pack(documents: DataFrame, tokenizer: str, size: int = 2048, open_windows: int = 16, min_piece: int = 8, end_id: int = 1, merge_partitions: int = 64) -> DataFrame:
+def pack(documents: DataFrame, tokenizer: str, size: int = 2048, open_windows: int = 16, min_piece: int = 8, end_id: int = 1, merge_partitions: int = 64, table_bytes: int = 48_000_000) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids (little-endian uint32), doc_tokens, sequence_id, offset.
 
     A null text is empty and still has its end id. Null doc_ids and repeated
     rows are packed as documents of their own. Sequences hold at most `size`
     ids; all are full but for gaps under min_piece and, at the very end of each
-    merge group, sequences whose length is a power of two.
+    merge group, sequences whose length is a power of two. table_bytes bounds each
+    worker's table of words: a larger one has fewer words encoded again.
     """
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        words, out, made, held = word_ids(tokenizer), [], 0, 0
+        words, out, made, held = word_ids(tokenizer, table_bytes), [], 0, 0
 
         def emit(window: Window, leftover=None) -> None:
             nonlocal made, held

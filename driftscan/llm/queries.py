@@ -29,7 +29,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from driftscan.llm.packing import pack
 
-    pieces = pack(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = pack(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), table_bytes=160_000_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
