@@ -27,92 +27,75 @@ PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_toke
 _TYPES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("leftover", pa.int64())])
 
 
-#: Marks that the vocabulary's pre-tokenizer cuts off after a letter or digit; the apostrophe is not one of them.
-_TAIL = b".,;:!?%&$#*|"
+#: Marks that the vocabulary's pre-tokenizer cuts off after a letter; the apostrophe is not one of them.
+_TAIL = np.isin(np.arange(256), list(b".,;:!?%&$#*|"))
+#: What a word takes in the table beside its letters: the entry, its number and where its ids are.
+WORD_BYTES = 200
 
 
-class WordIds(dict):
+class WordIds:
     """Ids of a white-space-free word, computed once while it stays in a table of about cap_bytes.
 
     The vocabulary lower-cases and its pre-tokenizer never joins text over white
-    space, nor a letter with a mark after it, so a text's ids are those of its
-    words in order, and a word's are those of its stem and its closing marks.
-    Words are numbered as they come; flat[ends[k]:ends[k+1]] are the ids of word k.
+    space, so a text's ids are those of its words in order. Words are numbered as
+    they come; the ids of word k are the size[k] ones of flat from begin[k] on.
     """
 
     def __init__(self, path: str, cap_bytes: int = 48_000_000):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer, self.cap_bytes = Tokenizer.from_file(path), cap_bytes
         self.closing = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.closing[[k for x, k in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
-        self.clear()
-        self.new, self.held, self.n_flat, self.flat, self.ends = [], 0, 0, np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = k = len(self)
-        self.new.append(word)
-        self.held += len(word) + 200  # with the entry, its number and its ids
-        return k
-
-    def _simple(self, words: list[str]) -> list[np.ndarray]:
-        """Of words of letters only: each ends with the one id that closes a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
-        out = np.split(ids, np.flatnonzero(self.closing[ids])[:-1] + 1)
-        if len(out) != len(words):
-            return self._any(words)
-        return out
-
-    def _any(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def learn(self) -> None:
-        """Fills in the ids of all words met since the last call."""
-        words, self.new = self.new, []
-        stems, tails = [], []
-        for word in words:
-            stem = word.rstrip(_TAIL)
-            if not stem or not stem[-1:].isalnum():
-                stem = word
-            stems.append(stem)
-            tails.append(word[len(stem) :])
-        todo = list({*stems, *filter(None, tails)})
-        text = [x.decode() for x in todo]
-        kind = [x.isalpha() and x.isascii() for x in text]
-        found: dict[bytes, np.ndarray] = {}
-        for how, want in ((self._simple, True), (self._any, False)):
-            some = [k for k, x in enumerate(kind) if x is want]
-            for at in range(0, len(some), 2048):
-                part = some[at : at + 2048]
-                found.update(zip((todo[k] for k in part), how([text[k] for k in part]), strict=True))
-        parts, sizes = [], np.empty(len(words), np.int64)
-        for i, (stem, tail) in enumerate(zip(stems, tails, strict=True)):
-            x = found[stem]
-            parts.append(x)
-            sizes[i] = len(x)
-            if tail:
-                parts.append(found[tail])
-                sizes[i] += len(found[tail])
-        flat = np.concatenate(parts)
-        while self.n_flat + len(flat) > self.flat.size:
+        self.table, self.held, self.n_flat = {}, 0, 0
+        self.flat, self.begin, self.size = np.zeros(1 << 16, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _together(self, words: list[bytes], closings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number a word, of words known to end with their first or second closing id."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.uint32)
+        close = np.flatnonzero(self.closing[ids])
+        if len(close) != closings.sum() or close[-1] != len(ids) - 1:
+            return self._each(words)
+        return ids, np.diff(close[np.cumsum(closings) - 1], prepend=-1)
+
+    def _each(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+    def learn(self, words: list[bytes]) -> None:
+        """Adds words that are not in the table."""
+        plain, closings = _plain(words)
+        begin, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        parts, at = [], self.n_flat
+        for how in (True, False):
+            which = np.flatnonzero(plain == how)
+            for first in range(0, len(which), 4096):
+                k = which[first : first + 4096]
+                some = [words[i] for i in k.tolist()]
+                ids, sizes = self._together(some, closings[k]) if how else self._each(some)
+                size[k], begin[k] = sizes, at + np.cumsum(sizes) - sizes
+                parts.append(ids)
+                at += len(ids)
+        while at > self.flat.size:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.n_flat : self.n_flat + len(flat)] = flat
-        self.ends = np.concatenate([self.ends, self.n_flat + np.cumsum(sizes)])
-        self.n_flat += len(flat)
+        self.flat[self.n_flat : at] = np.concatenate(parts)
+        self.n_flat, self.begin, self.size = at, np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
+        self.table.update(zip(words, range(len(self.table), len(self.table) + len(words)), strict=True))
+        self.held += sum(map(len, words)) + WORD_BYTES * len(words)
 
     def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words in order, and where each word's end. A full table is emptied first."""
         if self.held > self.cap_bytes:
             self.reset()
-        k = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.new:
-            self.learn()
-        begin = self.ends[k]
-        size = self.ends[k + 1] - begin
+        new = set(words).difference(self.table)
+        if new:
+            self.learn(list(new))
+        k = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
+        begin, size = self.begin[k], self.size[k]
         stop = np.cumsum(size)
         return self.flat[np.arange(size.sum()) + np.repeat(begin - stop + size, size)], stop
 
@@ -122,6 +105,20 @@ class WordIds(dict):
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
+def _plain(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are letters of Latin-1 with one mark after them at most, and how many closing ids such a word has."""
+    x = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+    stop = np.flatnonzero(x == 32)
+    start, last = np.concatenate([[0], stop[:-1] + 1]), stop - 1
+    lead = x == 0xC3
+    after = np.concatenate([[False], lead[:-1]]) & (x != 0x97) & (x != 0xB7)  # but the signs of times and division
+    other = ~((x >= 97) & (x <= 122) | lead | after)
+    other[stop] = False
+    tail = _TAIL[x[last]] & (last > start)
+    other[last[tail]] = False
+    return ~np.logical_or.reduceat(other, start), 1 + tail
+
+
 @lru_cache(maxsize=1)
 def word_ids(path: str, cap_bytes: int) -> WordIds:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
