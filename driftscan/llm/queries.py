@@ -159,3 +159,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rated, _ = mixing.mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), weights=MIXTURE, keep=["doc_id"])
     return rated.select("row.doc_id", "tokens", *(F.round(F.col("p")[k], 9).alias(f"p_{d}") for k, d in enumerate(mixing.DOMAINS)), F.round("rate", 6).alias("rate"))
+
+
+@query
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from driftscan.llm import bpe
+
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(load(spark, sf_dir, "documents"), tokenizer, keep=["doc_id"]).select("row.doc_id", "ids")
+    told = bpe.decode(encoded, tokenizer)
+    ids = F.col("row.ids")
+    return told.select("row.doc_id", F.size(ids).cast("bigint").alias("n_tokens"), F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
