@@ -172,3 +172,37 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = bpe.decode(encoded, tokenizer)
     ids = F.col("row.ids")
     return told.select("row.doc_id", F.size(ids).cast("bigint").alias("n_tokens"), F.sha2(F.array_join(ids.cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm import resampling
+
+    drawn = resampling.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+def _resampling_sql() -> str:
+    from driftscan.llm import resampling
+
+    return resampling.oracle_sql()
+
+
+ORACLES["op13_resampling"] = _resampling_sql()
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from driftscan.llm import centroids
+
+    found = centroids.cluster(load(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    return found.select("row.vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(centroids.spell(F.col("centroid")), 256).alias("centroid_sha256"))
+
+
+def _centroid_sql() -> str:
+    from driftscan.llm import centroids
+
+    return centroids.oracle_sql()
+
+
+ORACLES["op11_centroids"] = _centroid_sql()
