@@ -1,29 +1,72 @@
 """Zarr v2 stores of bucketed images, written chunk file by chunk file from tasks.
 
-Every chunk is a file of its own that one task writes, so tasks need no order;
-a retried task writes the same bytes again. Metadata are written last, by the
-driver, so that a store without them is unfinished. Chunks are zlib-compressed.
+The sink is a data source of its own. Every chunk is a file below a staging
+folder that one task writes, so tasks need no order and a retried one writes the
+same bytes again. Tasks tell the commit how many chunks of each array they
+wrote. The commit holds that against the manifest, adds the metadata and lets
+the finished stores take the place of older ones, which stay whole until then;
+an aborted job leaves nothing but them.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import struct
+import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from driftscan import functions as X
 from driftscan.operators import stats
+from driftscan.session import materialize, scratch_tables, ship
+from driftscan.stores import Publication, file_system, files_below, local
 
-TILES = "bucket string, level int, z bigint, ty int, tx int, data binary"
+TILES = "bucket string, level int, z bigint, ty int, tx int, chunk string, data binary"
+
+
+@dataclass(frozen=True)
+class Codec:
+    """How chunks are compressed: none, zlib, zstd or lz4, and whether bytes are shuffled by the size of an element before."""
+
+    name: str = "zlib"
+    level: int = 5
+    shuffle: bool = False
+
+    def __post_init__(self):
+        if self.name not in ("none", "zlib", "zstd", "lz4"):
+            raise ValueError(f"unsupported codec {self.name}")
+
+    def encode(self, data: bytes, itemsize: int) -> bytes:
+        if self.shuffle and itemsize > 1:
+            data = np.frombuffer(data, np.uint8).reshape(-1, itemsize).T.tobytes()
+        if self.name == "zlib":
+            return zlib.compress(data, self.level)
+        if self.name == "zstd":
+            return pa.Codec("zstd", compression_level=self.level).compress(data, asbytes=True)
+        if self.name == "lz4":
+            return struct.pack("<I", len(data)) + pa.Codec("lz4_raw").compress(data, asbytes=True)
+        return data
+
+    def metadata(self, itemsize: int) -> dict:
+        compressor = {"zlib": {"id": "zlib", "level": self.level}, "zstd": {"id": "zstd", "level": self.level}, "lz4": {"id": "lz4", "acceleration": 1}}.get(self.name)
+        return {"compressor": compressor, "filters": [{"id": "shuffle", "elementsize": itemsize}] if self.shuffle and itemsize > 1 else None}
+
+    def label(self) -> str:
+        return f"{self.name}_clevel{self.level}_{'shuffle' if self.shuffle else 'noshuffle'}"
 
 
 def tile_table(images: DataFrame, tile: int = 300, levels: int = 1, factor: int = 2, on_oversize: str = "error") -> DataFrame:
-    """TILES of bucketed images (bucket_h, bucket_w, bucket, z, height, width, channels, ndim, dtype, pixels).
+    """TILES of bucketed images (bucket_h, bucket_w, bucket, z, height, width, channels, ndim, dtype, pixels); chunk is a tile's name in its array.
 
     Images of a bucket are brought to its widest dtype and its most channels,
     padded with zeros, and averaged down for further levels.
@@ -38,77 +81,118 @@ def tile_table(images: DataFrame, tile: int = 300, levels: int = 1, factor: int
             for r in (dict(zip(b.schema.names, (c[k].as_py() for c in b.columns), strict=True)) for k in range(b.num_rows)):
                 a = np.frombuffer(r["pixels"], r["dtype"]).reshape((r["height"], r["width"], r["channels"]) if r["ndim"] > 2 else (r["height"], r["width"]))
                 a = arrays.pad_to(arrays.harmonise(a, r["to_channels"]).astype(r["to_dtype"]), r["bucket_h"], r["bucket_w"], on_oversize)
-                out = [(r["bucket"], lv, r["z"], ty, tx, t.tobytes()) for lv, p in enumerate(arrays.pyramid(a, levels, factor)) for ty, tx, t in arrays.tiles(p, min(tile, *p.shape[:2]))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["bucket", "level", "z", "ty", "tx", "data"])
+                last = ".0" if a.ndim > 2 else ""  # a colour image has one chunk of channels
+                out = [(r["bucket"], lv, r["z"], ty, tx, f"{r['z']}.{ty}.{tx}{last}", t.tobytes()) for lv, p in enumerate(arrays.pyramid(a, levels, factor)) for ty, tx, t in arrays.tiles(p, min(tile, *p.shape[:2]))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary()), strict=True)], ["bucket", "level", "z", "ty", "tx", "chunk", "data"])
 
     return rows.mapInArrow(run, TILES)
 
 
-def manifest(images: DataFrame, tile: int = 300, levels: int = 1, factor: int = 2) -> DataFrame:
-    """One row for each bucket and level: shape, chunks, dtype and number of images."""
+def manifest(images: DataFrame, tile: int = 300, levels: int = 1, factor: int = 2, codec: Codec = Codec()) -> DataFrame:
+    """One row for each bucket and level: shape, chunks, dtype, number of images and compression."""
     common = stats.promote(images)
     sizes = images.groupBy("bucket").agg(F.count("*").alias("n_images"), F.first("bucket_h").alias("h"), F.first("bucket_w").alias("w")).join(common, "bucket")
     at = sizes.select("*", F.posexplode(F.array(*(F.lit(factor**k) for k in range(levels)))).alias("level", "f"))
     h, w = F.ceil(F.col("h") / F.col("f")).cast("int"), F.ceil(F.col("w") / F.col("f")).cast("int")
     side = F.least(F.lit(tile), h, w)
     tail = F.when(F.col("channels") > 1, F.array("channels")).otherwise(F.array().cast("array<int>"))
-    return at.select("bucket", "level", "n_images", "dtype", F.concat(F.array(F.col("n_images").cast("int"), h, w), tail).alias("shape"), F.concat(F.array(F.lit(1), side, side), tail).alias("chunks"), F.lit("zlib").alias("compression"))
+    return at.select("bucket", "level", "n_images", "dtype", F.concat(F.array(F.col("n_images").cast("int"), h, w), tail).alias("shape"), F.concat(F.array(F.lit(1), side, side), tail).alias("chunks"), F.lit(codec.label()).alias("compression"))
+
 
+@dataclass
+class Written(WriterCommitMessage):
+    """How many chunks of each (bucket, level) a task wrote."""
 
-def _hadoop(spark, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    chunks: dict[tuple[str, int], int]
 
 
-def write_stores(images: DataFrame, root: str, tile: int = 300, levels: int = 1, factor: int = 2, level: int = 5, pixel_size: float = 0.36, on_oversize: str = "error") -> DataFrame:
-    """Writes bucket_{HxW}.zarr stores below root, a folder that all executors share, and returns the manifest.
+class ArraySink(DataSource):
+    """rows.write.format("zarr"): columns bucket, level, chunk and data become chunk files of stores below the path.
 
-    Stores are built under `.tmp` and renamed when complete; an older store of
-    the name goes first.
+    Options: manifest, the path of the written manifest table; settings, what
+    write_stores was given as JSON.
     """
-    import os
 
-    from driftscan.session import materialize
-
-    spark = images.sparkSession
-    plan = materialize(manifest(images, tile, levels, factor), "manifest")
-    chunks = tile_table(images, tile, levels, factor, on_oversize)
-    local = root.removeprefix("file://").removeprefix("file:")
-
-    def put(rows):
-        n = 0
-        for b in rows:
-            for bucket, lv, z, ty, tx, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                folder = f"{local}/bucket_{bucket}.zarr.tmp/{lv}"
-                os.makedirs(folder, exist_ok=True)
-                name = f"{folder}/{z}.{ty}.{tx}"
-                with open(f"{name}.part", "wb") as f:
-                    f.write(zlib.compress(data, level))
-                os.replace(f"{name}.part", name)
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-    # a colour image's chunk name has one more part, its only channel chunk
-    named = chunks.join(F.broadcast(plan.select("bucket", "level", F.size("shape").alias("nd"))), ["bucket", "level"]).select("bucket", "level", "z", "ty", F.when(F.col("nd") > 3, F.concat(F.col("tx").cast("string"), F.lit(".0"))).otherwise(F.col("tx").cast("string")).alias("tx"), "data")
-    named.mapInArrow(put, "n bigint").agg(F.sum("n")).collect()
-    rows = plan.orderBy("bucket", "level").collect()
-    for bucket in dict.fromkeys(r["bucket"] for r in rows):
-        tmp, own = f"{local}/bucket_{bucket}.zarr.tmp", [r for r in rows if r["bucket"] == bucket]
-        for r in own:
-            meta = {"zarr_format": 2, "shape": list(r["shape"]), "chunks": list(r["chunks"]), "dtype": np.dtype(r["dtype"]).str, "compressor": {"id": "zlib", "level": level}, "fill_value": 0, "order": "C", "filters": None}
-            _write(f"{tmp}/{r['level']}/.zarray", meta)
-        _write(f"{tmp}/.zgroup", {"zarr_format": 2})
-        _write(f"{tmp}/.zattrs", multiscale_metadata(levels, factor, pixel_size, own[0]["shape"]))
-        jvm, p, fs = _hadoop(spark, f"file://{local}/bucket_{bucket}.zarr")
-        fs.delete(p, True)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(f"file://{tmp}"), p)
-    return plan.withColumn("store_path", F.concat(F.lit(f"{local}/bucket_"), "bucket", F.lit(".zarr")))
-
-
-def _write(path: str, value: dict) -> None:
-    with open(path, "w") as f:
-        json.dump(value, f, indent=1, sort_keys=True)
+    @classmethod
+    def name(cls) -> str:
+        return "zarr"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return ArrayWriter(dict(self.options))
+
+
+class ArrayWriter(DataSourceArrowWriter):
+    def __init__(self, options: dict[str, str]):
+        self.manifest, own = options["manifest"], json.loads(options["settings"])
+        self.codec, self.itemsizes = Codec(**own["codec"]), {}
+        self.levels, self.factor, self.pixel_size = own["levels"], own["factor"], own["pixel_size"]
+        self.root, self.run = options["path"], own["run"]
+
+    def rows(self) -> list[dict]:
+        """The manifest: one row for each array."""
+        import pyarrow.dataset as ds
+
+        files = [file_system(p)[1] for p in files_below(self.manifest, lambda name: name.endswith(".parquet"))]
+        return ds.dataset(files, filesystem=file_system(self.manifest)[0]).to_table().to_pylist() if files else []
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        from pyspark import TaskContext
+
+        attempt = f"attempt-{TaskContext.get().taskAttemptId()}"
+        to, chunks = Publication(self.root, self.run), Counter()
+        itemsizes = {(r["bucket"], r["level"]): np.dtype(r["dtype"]).itemsize for r in self.rows()} if self.codec.shuffle else {}
+        for b in iterator:
+            for bucket, level, chunk, data in zip(*(b.column(n) for n in ("bucket", "level", "chunk", "data")), strict=True):
+                key = (bucket.as_py(), level.as_py())
+                to.write(f"bucket_{key[0]}.zarr/{key[1]}/{chunk.as_py()}", self.codec.encode(data.as_py(), itemsizes.get(key, 1)), attempt)
+                chunks[key] += 1
+        return Written(dict(chunks))
+
+    def commit(self, messages: list[Written | None]) -> None:
+        to, made = Publication(self.root, self.run), Counter()
+        for m in messages:
+            made.update(m.chunks if m else {})
+        rows = self.rows()
+        for r in rows:
+            want = math.prod(-(-n // c) for n, c in zip(r["shape"], r["chunks"], strict=True))
+            if made[r["bucket"], r["level"]] != want:
+                to.clear()
+                raise RuntimeError(f"{r['bucket']}, level {r['level']}: {made[r['bucket'], r['level']]} chunks of {want}")
+        for r in rows:
+            store, kind = f"bucket_{r['bucket']}.zarr", np.dtype(r["dtype"])
+            array = {"zarr_format": 2, "shape": r["shape"], "chunks": r["chunks"], "dtype": kind.str, "fill_value": 0, "order": "C", **self.codec.metadata(kind.itemsize)}
+            to.write(f"{store}/{r['level']}/.zarray", _json(array), "commit")
+            if r["level"] == 0:
+                to.write(f"{store}/.zgroup", _json({"zarr_format": 2}), "commit")
+                to.write(f"{store}/.zattrs", _json(multiscale_metadata(self.levels, self.factor, self.pixel_size, r["shape"])), "commit")
+        to.publish({s: s for s in sorted({f"bucket_{r['bucket']}.zarr" for r in rows})})
+
+    def abort(self, messages: list[Written | None]) -> None:
+        Publication(self.root, self.run).clear()
+
+
+def _json(value: dict) -> bytes:
+    return json.dumps(value, indent=1, sort_keys=True).encode()
+
+
+def write_stores(images: DataFrame, root: str, tile: int = 300, levels: int = 1, factor: int = 2, level: int = 5, pixel_size: float = 0.36, on_oversize: str = "error", codec: Codec | None = None) -> DataFrame:
+    """Writes bucket_{HxW}.zarr stores below root and returns the manifest with their paths.
+
+    root is a folder that all executors reach: of a mounted file system, or of a
+    store with renames that Arrow's file systems open (hdfs, abfs). An older
+    store of a name is readable until the new one is complete, and stays if the
+    job fails; stores of other names are left alone. No images make no stores.
+    level is that of codec where none is given.
+    """
+    spark, codec = images.sparkSession, codec or Codec(level=level)
+    ship(spark)
+    spark.dataSource.register(ArraySink)
+    with scratch_tables() as made:
+        plan = materialize(manifest(images, tile, levels, factor, codec), "manifest")
+    settings = {"codec": codec.__dict__, "levels": levels, "factor": factor, "pixel_size": pixel_size, "run": uuid.uuid4().hex}
+    chunks = tile_table(images, tile, levels, factor, on_oversize).select("bucket", "level", "chunk", "data")
+    chunks.write.format("zarr").mode("append").option("manifest", made[-1]).option("settings", json.dumps(settings)).save(root)
+    return plan.withColumn("store_path", F.concat(F.lit(f"{local(root.rstrip('/'))}/bucket_"), "bucket", F.lit(".zarr")))
 
 
 def multiscale_metadata(levels: int, factor: int, pixel_size: float, shape) -> dict:

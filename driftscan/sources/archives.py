@@ -16,6 +16,7 @@ from __future__ import annotations
 import bz2
 import contextlib
 import gzip
+import io
 import lzma
 import tarfile
 import zlib
@@ -29,9 +30,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from driftscan import functions as X
 from driftscan.session import ship
+from driftscan.stores import STREAMED, file_system, files_below, open_file
 
-#: What Arrow's file systems open; all other stores are read through Spark's own binary source.
-STREAMED = ("s3", "s3a", "gs", "gcs", "abfs", "abfss", "hdfs")
 #: Errors of unreadable archives: such a one is a row.
 UNREADABLE = (tarfile.TarError, EOFError, OSError, ValueError, zlib.error, lzma.LZMAError)
 #: A member above this many bytes does not fit into a row; its content is null and its error says so.
@@ -42,19 +42,6 @@ INDEX = T.StructType([*_MEMBER, *(T.StructField(n, T.LongType()) for n in ("offs
 MEMBERS = T.StructType([*_MEMBER, T.StructField("content", T.BinaryType()), _ERROR])
 
 
-def open_file(path: str):
-    """A binary file object with seek for a local path, a file: URI, or one of STREAMED."""
-    scheme, sep, rest = path.partition("://")
-    if path.startswith("/") or path.startswith("file:"):
-        return open(path.removeprefix("file://").removeprefix("file:"), "rb", buffering=0)
-    if not sep:
-        raise ValueError(f"not a path: {path}")
-    from pyarrow import fs
-
-    store, inner = fs.FileSystem.from_uri({"s3a": "s3", "gcs": "gs"}.get(scheme, scheme) + sep + rest)
-    return store.open_input_file(inner)
-
-
 class _Header(tarfile.TarInfo):
     """A header that reports damage in the middle of an archive, which would else pass for its end."""
 
@@ -106,12 +93,12 @@ def index_rows(path: str, opened: Callable = open_file) -> Iterator[tuple]:
         yield path, -1, None, None, None, None, None, f"{type(e).__name__}: {e}"[:200]
 
 
-def read_split(path: str, start: int | None, stop: int | None, first: int, content: bool, opened: Callable = open_file) -> Iterator[tuple]:
-    """MEMBERS rows of the members whose headers begin from start to before stop; first is the first one's number."""
+def read_split(path: str, start: int | None, stop: int | None, first: int, content: bool, opened: Callable = open_file, wanted: Callable[[str], bool] = lambda name: True) -> Iterator[tuple]:
+    """MEMBERS rows of the files with a wanted name whose headers begin from start to before stop; first is the first member's number."""
     try:
         with opened(path) as file:
             for k, (tar, m) in enumerate(walk(file, start, stop), first):
-                if m.isfile():
+                if m.isfile() and wanted(m.name):
                     large = content and m.size > LARGEST
                     data = tar.extractfile(m).read() if content and not large else None
                     yield path, k, m.name, m.size, data, f"a member of {m.size} bytes" if large else None
@@ -154,6 +141,35 @@ def member_index(tars: DataFrame) -> DataFrame:
     return tars.select("tar_path").mapInArrow(run, INDEX)
 
 
+def whole_members(tars: DataFrame, with_content: bool = True, wanted: Callable[[str], bool] = lambda name: True) -> DataFrame:
+    """MEMBERS rows of whole archives at tar_path, one after another within a task.
+
+    Archives in stores that only Spark reaches come as values in the column
+    content, which is read for no others; there, one of more than LARGEST bytes
+    is a row with an error.
+    """
+    ship(tars.sparkSession)
+    scheme = F.regexp_extract("tar_path", r"^([a-z0-9]+)://", 1)
+    own = F.col("tar_path").startswith("/") | F.col("tar_path").startswith("file:") | scheme.isin(*STREAMED)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for b in parts:
+                for k, path in enumerate(_column(b, "tar_path")):
+                    how = open_file if b.num_columns == 1 else lambda _, b=b, k=k: io.BytesIO(b.column("content")[k].as_py() or b"")
+                    yield from read_split(path, None, None, 0, with_content, how, wanted)
+
+        yield from batches(rows(), MEMBERS, 4)
+
+    streamed = tars.select("tar_path").filter(own).mapInArrow(run, MEMBERS)
+    other = tars.filter(~own)
+    if other.select("tar_path").isEmpty():
+        return streamed
+    large = F.col("length") > LARGEST if "length" in tars.columns else F.lit(False)
+    refused = other.filter(large).select("tar_path", F.lit(-1).alias("member_idx"), *(F.lit(None).cast(t).alias(n) for n, t in (("name", "string"), ("size", "bigint"), ("content", "binary"))), F.lit(f"an archive of more than {LARGEST} bytes in a store that is read by value").alias("error"))
+    return streamed.unionByName(other.filter(~large).select("tar_path", "content").mapInArrow(run, MEMBERS)).unionByName(refused)
+
+
 def splits(index: DataFrame, split_bytes: int = 128 << 20) -> DataFrame:
     """tar_path, start, stop, first and n_members of pieces of about split_bytes; start and stop are null for archives in one piece.
 
@@ -280,27 +296,14 @@ class ArchiveReader(DataSourceReader):
         self.options, self.names = options, schema.names
 
     def partitions(self) -> list[InputPartition]:
-        from pyarrow import fs
-
-        def found(path: str):
-            """The file system's own handle of path, with the prefix its files' paths need to be opened."""
-            if path.startswith("/") or path.startswith("file:"):
-                return fs.LocalFileSystem(), path.removeprefix("file://").removeprefix("file:"), ""
-            scheme, sep, rest = path.partition("://")
-            store, inner = fs.FileSystem.from_uri({"s3a": "s3", "gcs": "gs"}.get(scheme, scheme) + sep + rest)
-            return store, inner, path.removesuffix(inner)
-
-        if "splits" in self.options:
-            import pyarrow.dataset as ds
-
-            store, inner, _ = found(self.options["splits"])
-            files = [f.path for f in store.get_file_info(fs.FileSelector(inner)) if f.path.endswith(".parquet")]
-            at = ds.dataset(files, filesystem=store).to_table(columns=["tar_path", "start", "stop", "first"]).to_pylist() if files else []
-            return [InputPartition(tuple(r.values())) for r in at]
-        store, inner, prefix = found(self.options["path"])
-        at = store.get_file_info(inner)
-        below = [at] if at.type == fs.FileType.File else store.get_file_info(fs.FileSelector(inner, recursive=True))
-        return [InputPartition((prefix + f.path, None, None, 0)) for f in sorted(below, key=lambda f: f.path) if f.type == fs.FileType.File and ".tar" in f.base_name]
+        if "splits" not in self.options:
+            return [InputPartition((p, None, None, 0)) for p in files_below(self.options["path"], lambda name: ".tar" in name)]
+        import pyarrow.dataset as ds
+
+        table = self.options["splits"]
+        files = [file_system(p)[1] for p in files_below(table, lambda name: name.endswith(".parquet"))]
+        at = ds.dataset(files, filesystem=file_system(table)[0]).to_table(columns=["tar_path", "start", "stop", "first"]).to_pylist() if files else []
+        return [InputPartition(tuple(r.values())) for r in at]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         yield from batches(read_split(*partition.value, "content" in self.names), MEMBERS, 4, self.names)

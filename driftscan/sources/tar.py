@@ -2,26 +2,21 @@
 
 `members` streams each archive inside a task, so that its size is not bounded by
 a row's; a member's is (2 GB). Archives are listed by Spark's binaryFile source
-without their content, and opened where they are, as paths of a local or mounted
-file system. Python workers cannot reach Spark's other file systems: archives
-there are read as binary values of at most 2 GB.
+without their content, and opened where they are. `archives` of this package
+splits them over tasks and reads single members.
 """
 
 from __future__ import annotations
 
-import io
-import tarfile
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftscan import functions as X
 from driftscan.session import ship
+from driftscan.sources.archives import whole_members
 
 EXTENSIONS = (".jpg", ".jpeg", ".png", ".tiff", ".tif", ".bmp", ".webp")
-MEMBERS = "tar_path string, member_idx int, name string, size bigint, content binary, error string"
 IMAGES = "tar_path string, member_idx int, filename string, height int, width int, channels int, ndim int, dtype string, pixels binary, error string"
 
 
@@ -32,46 +27,20 @@ def archives(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def members(tars: DataFrame, with_content: bool = True, only_images: bool = False) -> DataFrame:
-    """One row for each file in each archive (MEMBERS), any compression; an unreadable archive is one row with an error.
+    """One row for each file in each archive (MEMBERS), any compression; an unreadable archive is one row with an error after what could be read.
 
-    The content of tars is read only for archives outside the local file system.
+    A member of more than 2 GB has an error and no content. Large archives are
+    better split over tasks: archives.split_members.
     """
-    names = [x.split()[0] for x in MEMBERS.split(", ")]
-
-    def read(path: str, content: bytes | None) -> Iterator[tuple]:
-        try:
-            with tarfile.open(path, "r|*") if content is None else tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
-                for k, m in enumerate(tar):
-                    if m.isfile() and (not only_images or m.name.lower().endswith(EXTENSIONS)):
-                        f = tar.extractfile(m) if with_content else None
-                        yield path, k, m.name, m.size, f.read() if f else None, None
-        except (tarfile.TarError, EOFError, OSError) as e:
-            yield path, -1, None, None, None, str(e)[:200]
-
-    def run(batches):
-        for b in batches:
-            for k in range(b.num_rows):
-                rows, held = [], 0
-                for row in read(b.column(0)[k].as_py(), (b.column(1)[k].as_py() or b"") if b.num_columns > 1 else None):
-                    rows.append(row)
-                    held += len(row[4] or b"")
-                    if held > 16_000_000:
-                        yield _batch(rows, names)
-                        rows, held = [], 0
-                if rows:
-                    yield _batch(rows, names)
-
-    local = F.col("tar_path").startswith("/")
-    streamed = tars.select("tar_path").filter(local).mapInArrow(run, MEMBERS)
-    if tars.select("tar_path").filter(~local).isEmpty():
-        return streamed
-    return streamed.unionByName(tars.select("tar_path", "content").filter(~local).mapInArrow(run, MEMBERS))
+    if only_images:
+        return whole_members(tars, with_content, lambda name: name.lower().endswith(EXTENSIONS))
+    return whole_members(tars, with_content)
 
 
 _TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
 
 
-def _batch(rows: list[tuple], names: list[str], schema: str = MEMBERS) -> pa.RecordBatch:
+def _batch(rows: list[tuple], names: list[str], schema: str) -> pa.RecordBatch:
     types = [_TYPES[x.split()[1]] for x in schema.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from driftscan.operators import sampling
 from driftscan.sources import archives, tar
+from driftscan.stores import open_file
 
 
 def write(path, members, mode="w", fmt=tarfile.PAX_FORMAT, **more):
@@ -161,7 +162,7 @@ def test_a_sample_of_a_large_sparse_archive_reads_little_of_it(spark, tmp_path):
 
 def test_index_of_many_members_holds_one_at_a_time(tmp_path):
     write(tmp_path / "m.tar", ((f"{k}.tif", b"x") for k in range(500)))
-    with archives.open_file(str(tmp_path / "m.tar")) as f:
+    with open_file(str(tmp_path / "m.tar")) as f:
         assert max(len(t.members) for t, _ in archives.walk(f)) <= 2
 
 
