@@ -114,6 +114,13 @@ def combine_datetime(date, time) -> Column:
     return F.try_to_timestamp(F.concat_ws(" ", _c(date).cast("string"), _c(time)), F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
 
 
+def repair_datetime(datetime, date, time) -> Column:
+    """A timestamp from a datetime string, or from date and HH:mm where the string lost its time, as at midnight."""
+    text = _c(datetime).cast("string")
+    whole = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    return F.coalesce(whole, combine_datetime(date, time), F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("timestamp_ntz"))
+
+
 def bin_start(ts, every: str = "10 minutes") -> Column:
     return F.window(_c(ts), every)["start"].cast("timestamp_ntz")
 
@@ -208,12 +215,28 @@ SHAPE_RULES = [
     ("aspect_ratio", ("minor_axis_length", "major_axis_length"), lambda a, b: a / (b + 1e-6)),
     ("circularity", ("area", "perimeter"), lambda a, p: 4 * math.pi * a / (p * p + 1e-6)),
     ("compactness", ("area", "perimeter"), lambda a, p: p * p / (a + 1e-6)),
-    ("bbox_aspect_ratio", ("bbox_height", "bbox_width"), lambda h, w: h / (w + 1e-6)),
+    ("bbox_aspect_ratio", ("bbox_width", "bbox_height"), lambda w, h: w / (h + 1e-6)),
     ("extent_derived", ("area", "bbox_height", "bbox_width"), lambda a, h, w: a / (h * w + 1e-6)),
     ("intensity_cv", ("intensity_std", "mean_intensity"), lambda s, m: s / (m + 1e-6)),
+    ("intensity_cv", ("standard_deviation_intensity", "mean_intensity"), lambda s, m: s / (m + 1e-6)),
+    ("centroid_mass_center_ratio", ("mean_distance_to_centroid", "mean_distance_to_mass_center"), lambda c, m: c / (m + 1e-6)),
 ]
 
 
+def intensity_ratio(mean, background) -> Column:
+    """An object's brightness over the background's; null on a background of 0."""
+    return _c(mean) / F.nullif(_c(background), F.lit(0))
+
+
+def intensity_contrast(mean, background) -> Column:
+    return (_c(background) - _c(mean)) / F.nullif(_c(background), F.lit(0))
+
+
+def od_circularity(area, perimeter) -> Column:
+    """Circularity as the optical-density features have it, with their own guard against 0."""
+    return 4 * math.pi * _c(area) / (_c(perimeter) * _c(perimeter) + 1e-10)
+
+
 def optical_density(pixel, background) -> Column:
     return F.greatest(F.lit(0.0), -F.log10(_c(pixel) / _c(background) + 1e-10))
 

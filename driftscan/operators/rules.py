@@ -58,10 +58,17 @@ def apply_verdict(images: DataFrame, verdicts: DataFrame, image: str = "image_id
     return out.filter(~F.coalesce("is_bubble", F.lit(False))).drop("is_bubble")
 
 
-def derive_shapes(objects: DataFrame) -> DataFrame:
-    """objects with every derived feature whose inputs they have."""
-    have = set(objects.columns)
-    return objects.withColumns({name: f(*map(F.col, need)) for name, need, f in X.SHAPE_RULES if have.issuperset(need) and name not in have})
+def derive_shapes(objects: DataFrame, shapes: list[tuple] | None = None) -> DataFrame:
+    """objects with every derived feature whose inputs they have; shapes are (name, required columns, expression), X.SHAPE_RULES where none are given.
+
+    Of several rules of a name the first that has its inputs counts; a column
+    that is there stays.
+    """
+    have, made = set(objects.columns), {}
+    for name, need, f in X.SHAPE_RULES if shapes is None else shapes:
+        if have.issuperset(need) and name not in have:
+            made.setdefault(name, f(*map(F.col, need)))
+    return objects.withColumns(made) if made else objects
 
 
 def object_means(objects: DataFrame, image: str, features: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from driftscan import functions as X
+from driftscan.operators.ranges import segment_lines, track_length, track_segments  # noqa: F401  of this module by name
 
 
 def class_statistics(images: DataFrame, label: str = "pred_label", density: str = "density", conf: str = "pred_conf") -> DataFrame:
@@ -62,12 +63,12 @@ def choose_unit(days: float) -> str:
     return "hour" if days <= 30 else "day" if days <= 90 else "week"
 
 
-def day_grid(rows: DataFrame, ts: str, value: str) -> DataFrame:
-    """Mean value of each of a day's 144 ten-minute slots, for each day with rows; 0 where there are none."""
-    slot = rows.filter(F.col(ts).isNotNull()).select(F.col(ts).cast("date").alias("day"), X.bin_start(ts).alias("slot"), F.col(value).alias("v"))
-    means = slot.groupBy("day", "slot").agg(F.avg("v").alias("v"))
-    grid = means.select("day").distinct().select("day", F.explode(F.sequence(F.col("day").cast("timestamp_ntz"), F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL '23:50' HOUR TO MINUTE"), F.expr("INTERVAL 10 MINUTE"))).alias("slot"))
-    return grid.join(means, ["day", "slot"], "left").select("day", "slot", F.coalesce("v", F.lit(0.0)).alias("value"))
+def day_grid(rows: DataFrame, ts: str, value: str, *by: str) -> DataFrame:
+    """Mean value of each of a day's 144 ten-minute slots, for each day (of each class in `by`) with rows; 0 where there are none."""
+    slot = rows.filter(F.col(ts).isNotNull()).select(*by, F.col(ts).cast("date").alias("day"), X.bin_start(ts).alias("slot"), F.col(value).alias("v"))
+    means = slot.groupBy(*by, "day", "slot").agg(F.avg("v").alias("v"))
+    grid = means.select(*by, "day").distinct().select(*by, "day", F.explode(F.sequence(F.col("day").cast("timestamp_ntz"), F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL '23:50' HOUR TO MINUTE"), F.expr("INTERVAL 10 MINUTE"))).alias("slot"))
+    return grid.join(means, [*by, "day", "slot"], "left").select(*by, "day", "slot", F.coalesce("v", F.lit(0.0)).alias("value"))
 
 
 def extent(rows: DataFrame, ts: str) -> DataFrame:
@@ -75,27 +76,6 @@ def extent(rows: DataFrame, ts: str) -> DataFrame:
     return r.withColumn("hours", X.hours_between("start", "end"))
 
 
-def track_segments(points: DataFrame, key: str, ts: str, order: str, gap_minutes: float = 10.0) -> DataFrame:
-    """points with gap_min and segment_id: a gap of more than gap_minutes starts a new segment of its key."""
-    w = Window.partitionBy(key).orderBy(ts, order)
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    out = points.withColumn("gap_min", F.coalesce((micros - F.lag(micros).over(w)) / 60_000_000.0, F.lit(0.0)))
-    return out.withColumn("segment_id", F.sum((F.col("gap_min") > gap_minutes).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-
-
-def segment_lines(segments: DataFrame, key: str, ts: str, order: str) -> DataFrame:
-    """Ordered points of every segment of two points or more."""
-    return segments.groupBy(key, "segment_id").agg(F.array_sort(F.collect_list(F.struct(ts, order, "lon", "lat"))).alias("line")).filter(F.size("line") > 1)
-
-
-def track_length(points: DataFrame, key: str, ts: str, order: str) -> DataFrame:
-    """Kilometres along each key's points in projected metres, (0, 0) and null places left out."""
-    w = Window.partitionBy(key).orderBy(ts, order)
-    at = points.filter(X.not_null_island("lat", "lon")).withColumn("p", X.laea("lat", "lon"))
-    step = at.select(key, F.hypot(F.col("p.x") - F.lag("p.x").over(w), F.col("p.y") - F.lag("p.y").over(w)).alias("m"))
-    return step.groupBy(key).agg((F.coalesce(F.sum("m"), F.lit(0.0)) / 1000.0).alias("km"))
-
-
 def track_bounds(points: DataFrame) -> DataFrame:
     """Bounds in degrees."""
     return points.filter(X.not_null_island("lat", "lon")).agg(F.min("lon").alias("min_lon"), F.min("lat").alias("min_lat"), F.max("lon").alias("max_lon"), F.max("lat").alias("max_lat"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from driftscan import functions as X
 from driftscan.operators import curation, evaluation, rules, sampling, stats
 from driftscan.session import load
+from driftscan.sources.tar import EXTENSIONS
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -51,18 +52,18 @@ def _points(spark: SparkSession, d: str) -> DataFrame:
 _T = "SELECT event_id, user_id, ts, CASE WHEN event_id % 97 = 0 THEN 0.0 ELSE 48.0 + (user_id % 100) / 10.0 + (event_id % 7) / 100.0 END::DOUBLE AS lat, CASE WHEN event_id % 97 = 0 THEN 0.0 ELSE 2.0 + (user_id % 50) / 10.0 + (event_id % 11) / 100.0 END::DOUBLE AS lon FROM events"
 
 
-def _probs(spark: SparkSession, d: str, start: int = 1) -> DataFrame:
-    """Embeddings as class scores of ten classes."""
-    return load(spark, d, "embeddings").select("vec_id", "label", F.slice("embedding", start, 10).alias("probs"))
+def _probs(spark: SparkSession, d: str, start: int = 1, n: int = 64) -> DataFrame:
+    """Embeddings as class scores of 64 classes, or of n from one on."""
+    return load(spark, d, "embeddings").select("vec_id", "label", F.slice("embedding", start, n).alias("probs"))
 
 
-_V = "SELECT vec_id, label, embedding[1:10] AS probs FROM embeddings"
+_V = "SELECT vec_id, label, embedding AS probs FROM embeddings"
 _VP = f"SELECT vec_id, label, list_position(probs, list_max(probs)) - 1 AS pred, list_max(probs) AS conf FROM ({_V})"
-CLASSES = [f"c{k}" for k in range(10)]
+CLASSES = [f"c{k}" for k in range(64)]
 
 
-def _preds(spark: SparkSession, d: str, start: int = 1) -> DataFrame:
-    return _probs(spark, d, start).select("vec_id", "label", X.argmax("probs").alias("pred"), F.array_max("probs").alias("conf"))
+def _preds(spark: SparkSession, d: str, start: int = 1, n: int = 64) -> DataFrame:
+    return _probs(spark, d, start, n).select("vec_id", "label", X.argmax("probs").alias("pred"), F.array_max("probs").alias("conf"))
 
 
 def _objects(spark: SparkSession, d: str) -> DataFrame:
@@ -155,13 +156,12 @@ def coverage_10m(spark, d):
     return stats.pivot_counts(load(spark, d, "events").select(X.bin_start("ts").alias("window_start")), "window_start")
 
 
-@query("""WITH e AS (SELECT time_bucket(INTERVAL '10 minutes', ts) AS slot, value FROM events WHERE event_type = (SELECT min(event_type) FROM events)), m AS (SELECT slot, avg(value) AS v FROM e GROUP BY 1),
-g AS (SELECT day, unnest(generate_series(day::TIMESTAMP, day::TIMESTAMP + INTERVAL '23:50:00', INTERVAL 10 MINUTE)) AS slot FROM (SELECT DISTINCT slot::DATE AS day FROM e))
-SELECT day::VARCHAR AS day, g.slot, round(coalesce(v, 0), 6) AS value FROM g LEFT JOIN m ON g.slot = m.slot""")
+@query("""WITH e AS (SELECT event_type, time_bucket(INTERVAL '10 minutes', ts) AS slot, value FROM events), m AS (SELECT event_type, slot, avg(value) AS v FROM e GROUP BY ALL),
+g AS (SELECT event_type, day, unnest(generate_series(day::TIMESTAMP, day::TIMESTAMP + INTERVAL '23:50:00', INTERVAL 10 MINUTE)) AS slot FROM (SELECT DISTINCT event_type, slot::DATE AS day FROM e))
+SELECT event_type, day::VARCHAR AS day, g.slot, round(coalesce(v, 0), 6) AS value FROM g LEFT JOIN m USING (event_type, slot)""")
 def day_grid_density(spark, d):
-    e = load(spark, d, "events")
-    first = e.agg(F.min("event_type").alias("event_type"))
-    return stats.day_grid(e.join(F.broadcast(first), "event_type"), "ts", "value").withColumn("value", F.round("value", 6)).withColumn("day", F.col("day").cast("string"))
+    grid = stats.day_grid(load(spark, d, "events"), "ts", "value", "event_type")
+    return grid.withColumn("value", F.round("value", 6)).withColumn("day", F.col("day").cast("string"))
 
 
 @query('SELECT min(ts) AS start, max(ts) AS "end", count(*) AS n_rows, epoch(max(ts) - min(ts)) / 3600.0 AS hours FROM events')
@@ -178,10 +178,12 @@ def track_segments(spark, d):
     return stats.track_segments(_points(spark, d), "user_id", "ts", "event_id").select("user_id", "event_id", F.round(F.col("gap_min") + 1e-9, 3).alias("gap_min"), "segment_id")
 
 
-@query(f"SELECT user_id, segment_id::BIGINT AS segment_id, count(*) AS n_points, min(event_id) AS least_event FROM ({_SEG}) GROUP BY ALL HAVING count(*) > 1")
+@query(f"""SELECT user_id, segment_id::BIGINT AS segment_id, 0::BIGINT AS part, count(*)::INT AS n_points, string_agg(event_id || ' ' || round(lon * 100)::INT || ' ' || round(lat * 100)::INT, ',' ORDER BY ts, event_id) AS line
+FROM ({_SEG}) GROUP BY user_id, segment_id HAVING count(*) > 1""")
 def segment_lines(spark, d):
     lines = stats.segment_lines(stats.track_segments(_points(spark, d), "user_id", "ts", "event_id"), "user_id", "ts", "event_id")
-    return lines.select("user_id", "segment_id", F.size("line").cast("bigint").alias("n_points"), F.array_min(F.transform("line", lambda p: p["event_id"])).alias("least_event"))
+    point = lambda p: F.concat_ws(" ", p["event_id"].cast("string"), F.round(p["lon"] * 100).cast("int").cast("string"), F.round(p["lat"] * 100).cast("int").cast("string"))
+    return lines.select("user_id", "segment_id", "part", "n_points", F.array_join(F.transform("line", point), ",").alias("line"))
 
 
 def _laea_sql() -> str:
@@ -293,17 +295,25 @@ def confidence_histogram(spark, d):
     return stats.histogram(load(spark, d, "events"), "value")
 
 
-def _model(spark, d, start: int) -> DataFrame:
-    p = _probs(spark, d, start)
-    return p.select("vec_id", "label", *(F.get("probs", F.lit(k)).alias(c) for k, c in enumerate(CLASSES)))
+#: First class and number of classes of three models, which together know all.
+MODELS = ((0, 32), (16, 32), (24, 40))
+
+
+def _model(spark, d, first: int, n: int) -> DataFrame:
+    p = _probs(spark, d, first + 1, n)
+    return p.select("vec_id", "label", *(F.get("probs", F.lit(k)).alias(CLASSES[first + k]) for k in range(n)))
 
 
-_M3 = " UNION ALL ".join(f"SELECT vec_id, label, {', '.join(f'embedding[{s + k}] AS c{k}' for k in range(10))} FROM embeddings" for s in (1, 11, 21))
+def _ensemble_sql() -> str:
+    models = " UNION ALL ".join(f"SELECT vec_id, label, {', '.join(f'embedding[{k + 1}] AS c{k}' if f <= k < f + n else f'NULL AS c{k}' for k in range(64))} FROM embeddings" for f, n in MODELS)
+    means = ", ".join(f"round(avg(c{k}), 9) AS c{k}" for k in range(64))
+    names = ", ".join(CLASSES)
+    return f"WITH a AS (SELECT vec_id, label, {means} FROM ({models}) GROUP BY 1, 2) SELECT *, 'c' || (list_position([{names}], greatest({names})) - 1) AS ens_pred, greatest({names}) AS ens_conf FROM a"
 
 
-@query(f"WITH a AS (SELECT vec_id, label, {', '.join(f'round(avg(c{k}), 9) AS c{k}' for k in range(10))} FROM ({_M3}) GROUP BY 1, 2) SELECT *, 'c' || (list_position([{', '.join(CLASSES)}], greatest({', '.join(CLASSES)})) - 1) AS ens_pred, greatest({', '.join(CLASSES)}) AS ens_conf FROM a")
+@query(_ensemble_sql())
 def ensemble_mean_argmax(spark, d):
-    e = evaluation.ensemble([_model(spark, d, s) for s in (1, 11, 21)], ["vec_id", "label"], CLASSES)
+    e = evaluation.ensemble([_model(spark, d, f, n) for f, n in MODELS], ["vec_id", "label"], CLASSES)
     return e.select("vec_id", "label", *(F.round(c, 9).alias(c) for c in CLASSES), "ens_pred", F.round("ens_conf", 9).alias("ens_conf"))
 
 
@@ -351,14 +361,14 @@ def top_losses(spark, d):
 
 def _side_sql() -> str:
     def f(k, s):
-        return _SCORES.replace(_V, f"SELECT vec_id, label, embedding[{s}:{s + 9}] AS probs FROM embeddings") + f" SELECT class, round(f1, 9) AS f1_{k} FROM f WHERE support > 0"
+        return _SCORES.replace(_V, f"SELECT vec_id, label, embedding[{s}:{s + 31}] AS probs FROM embeddings") + f" SELECT class, round(f1, 9) AS f1_{k} FROM f WHERE support > 0"
 
-    return f"SELECT coalesce(a.class, b.class) AS class, f1_a, f1_b FROM ({f('a', 1)}) a FULL JOIN ({f('b', 11)}) b ON a.class = b.class"
+    return f"SELECT coalesce(a.class, b.class) AS class, f1_a, f1_b FROM ({f('a', 1)}) a FULL JOIN ({f('b', 33)}) b ON a.class = b.class"
 
 
 @query(_side_sql())
 def model_metrics_side_by_side(spark, d):
-    s = evaluation.side_by_side({k: evaluation.class_scores(_preds(spark, d, start)) for k, start in (("a", 1), ("b", 11))})
+    s = evaluation.side_by_side({k: evaluation.class_scores(_preds(spark, d, start, 32)) for k, start in (("a", 1), ("b", 33))})
     return s.select("class", F.round("f1_a", 9).alias("f1_a"), F.round("f1_b", 9).alias("f1_b"))
 
 
@@ -465,9 +475,15 @@ def basename_split(spark, d):
     return load(spark, d, "pages").select("page_id", X.basename("url").alias("basename"), X.instrument_code("url").alias("code"))
 
 
-@query("SELECT page_id, lower(regexp_extract(string_split(url, '/')[-1], '(\\.[^.]+)$', 1)) AS suffix FROM pages WHERE string_split(url, '/')[3] LIKE '%.com'")
+_SUFFIXES = (".tif", ".PNG", ".txt", ".jpeg", "", ".Tiff", ".tif.bak")
+_NAMED = "'RawImages/' || replace(p_name, ' ', '.') || (['.tif', '.PNG', '.txt', '.jpeg', '', '.Tiff', '.tif.bak'])[p_partkey % 7 + 1]"
+
+
+@query(f"SELECT p_partkey, name, lower(regexp_extract(name, '(\\.[^.]+)$', 1)) AS suffix FROM (SELECT p_partkey, {_NAMED} AS name FROM part) WHERE lower(regexp_extract(name, '(\\.[^.]+)$', 1)) IN ('.jpg', '.jpeg', '.png', '.tiff', '.tif', '.bmp', '.webp')")
 def extension_filter(spark, d):
-    return load(spark, d, "pages").filter(F.split_part("url", F.lit("/"), F.lit(3)).endswith(".com")).select("page_id", X.suffix("url").alias("suffix"))
+    ending = F.element_at(F.array(*map(F.lit, _SUFFIXES)), (F.col("p_partkey") % 7 + 1).cast("int"))
+    files = load(spark, d, "part").select("p_partkey", F.concat(F.lit("RawImages/"), F.replace("p_name", F.lit(" "), F.lit(".")), ending).alias("name"))
+    return files.withColumn("suffix", X.suffix("name")).filter(F.col("suffix").isin(*EXTENSIONS))
 
 
 @query("SELECT p_partkey, translate(replace(p_name, ' ', '_'), '_-', '  ') AS label FROM part")
@@ -510,10 +526,13 @@ def object_feature_mean(spark, d):
     return m.select("image_id", F.round(F.col("area") + 1e-7, 4).alias("area"), F.round("solidity", 6).alias("solidity"), "object_count")
 
 
-@query("SELECT event_id, date_trunc('minute', ts) AS repaired FROM events")
+@query("SELECT event_id, CASE WHEN hour(ts) = 0 THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END AS repaired FROM events")
 def midnight_repair(spark, d):
-    e = load(spark, d, "events").select("event_id", F.col("ts").cast("date").alias("date"), F.date_format("ts", "HH:mm").alias("time"))
-    return e.select("event_id", X.combine_datetime("date", "time").alias("repaired"))
+    """Times that lost their hour in the first hour of a day, as a file's do whose rows all stand at midnight."""
+    e = load(spark, d, "events")
+    written = F.when(F.hour("ts") == 0, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    e = e.select("event_id", written.alias("datetime"), F.col("ts").cast("date").alias("date"), F.date_format("ts", "HH:mm").alias("time"))
+    return e.select("event_id", X.repair_datetime("datetime", "date", "time").alias("repaired"))
 
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H%M') AS timestamp FROM events")
