@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from driftscan.plans import reports
+from driftscan.plans import reports, surveys
 
-QUERIES: dict = dict(reports.QUERIES)
-ORACLES: dict = dict(reports.ORACLES)
+QUERIES: dict = reports.QUERIES | surveys.QUERIES
+ORACLES: dict = reports.ORACLES | surveys.ORACLES

@@ -64,7 +64,7 @@ def best_of(rows: DataFrame, key: str, name: str, loss: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min_by(name, F.struct(loss, name)).alias("best"), F.min(loss).alias("best_loss"))
 
 
-def quarantine(files: DataFrame, name: str, when: str) -> DataFrame:
-    """Names under which corrupt files are kept: the plain one first, then with time and a sequence number."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(when)) - 1
+def quarantine(files: DataFrame, name: str, when: str, *order: str) -> DataFrame:
+    """Names under which corrupt files are kept: the plain one first, then with time and a sequence number; `order` decides at one time."""
+    n = F.row_number().over(Window.partitionBy(name).orderBy(when, *order)) - 1
     return files.withColumn("kept_as", F.when(n == 0, F.col(name)).otherwise(F.concat_ws("_", F.date_format(when, "yyyyMMddHHmmss"), n.cast("string"), F.col(name))))

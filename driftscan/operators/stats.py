@@ -63,6 +63,11 @@ def choose_unit(days: float) -> str:
     return "hour" if days <= 30 else "day" if days <= 90 else "week"
 
 
+def unit_of(days) -> Column:
+    """The unit in which a span of days is shown, as a column."""
+    return F.when(days <= 30, "hour").when(days <= 90, "day").otherwise("week")
+
+
 def day_grid(rows: DataFrame, ts: str, value: str, *by: str) -> DataFrame:
     """Mean value of each of a day's 144 ten-minute slots, for each day (of each class in `by`) with rows; 0 where there are none."""
     slot = rows.filter(F.col(ts).isNotNull()).select(*by, F.col(ts).cast("date").alias("day"), X.bin_start(ts).alias("slot"), F.col(value).alias("v"))
