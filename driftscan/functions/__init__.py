@@ -133,7 +133,7 @@ def unit_start(ts, unit: str) -> Column:
 
 
 def hours_between(start, end) -> Column:
-    seconds = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
+    seconds = F.unix_micros(_c(end).cast("timestamp_ltz")) - F.unix_micros(_c(start).cast("timestamp_ltz"))
     return F.coalesce(seconds / 3_600_000_000.0, F.lit(0.0))
 
 

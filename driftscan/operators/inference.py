@@ -37,6 +37,8 @@ def pad_resize(a: np.ndarray, size: int) -> np.ndarray:
     """An image (h, w[, c]) scaled to fit a square, its shape kept, zeros around it; float32 (size, size, c)."""
     a = a[:, :, None] if a.ndim == 2 else a
     h, w = a.shape[:2]
+    if not h or not w:
+        raise ValueError("an image without pixels")
     to_h, to_w = max(1, round(h * size / max(h, w))), max(1, round(w * size / max(h, w)))
     small = np.einsum("ih,hwc,jw->ijc", _weights(h, to_h), a.astype(np.float64), _weights(w, to_w), optimize=True)
     out, top, left = np.zeros((size, size, a.shape[2]), np.float32), (size - to_h) // 2, (size - to_w) // 2

@@ -69,8 +69,8 @@ def track_segments(points: DataFrame, key: str, ts: str, order: str, gap_minutes
     Points without a time stand before the others of their key and have no gap;
     a null key is one of its own. order must tell points of one time apart.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    gap = F.coalesce((F.unix_micros(F.col(ts).cast("timestamp")) - F.col("__last")) / 60_000_000.0, F.lit(0.0))
+    micros = F.unix_micros(F.col(ts).cast("timestamp_ltz"))
+    gap = F.coalesce((F.unix_micros(F.col(ts).cast("timestamp_ltz")) - F.col("__last")) / 60_000_000.0, F.lit(0.0))
     out = _steps(points, key, ts, order, micros, gap > gap_minutes)
     return out.select(*points.columns, gap.alias("gap_min"), F.col("__flags").alias("segment_id"))
 

@@ -52,7 +52,7 @@ def coverage(rows: DataFrame, ts: str, unit: str) -> DataFrame:
     ten-minute bins that hold a row. Only two numbers and the axis are made apart.
     """
     u = X.unit_start(ts, unit)
-    counts = rows.filter(F.col(ts).isNotNull()).groupBy(u.alias("unit_start")).agg(F.count("*").alias("n"), F.count_distinct(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / 600)).alias("bins"))
+    counts = rows.filter(F.col(ts).isNotNull()).groupBy(u.alias("unit_start")).agg(F.count("*").alias("n"), F.count_distinct(F.floor(F.unix_seconds(F.col(ts).cast("timestamp_ltz")) / 600)).alias("bins"))
     step = {"hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY"}[unit]
     axis = counts.agg(F.min("unit_start").alias("lo"), F.max("unit_start").alias("hi")).filter("lo is not null").select(F.explode(F.sequence("lo", "hi", F.expr(step))).alias("unit_start"))
     out = axis.join(counts, "unit_start", "left").select("unit_start", F.coalesce("n", F.lit(0)).alias("count"), F.coalesce("bins", F.lit(0)).alias("bins"))
@@ -106,8 +106,9 @@ def keep_large_buckets(images: DataFrame, least: int) -> DataFrame:
 
 
 def truncate_buckets(images: DataFrame, most: int, *order: str) -> DataFrame:
-    """The first `most` images of each bucket in arrival order, numbered from 0."""
-    return images.withColumn("z", F.row_number().over(Window.partitionBy("bucket").orderBy(*order)) - 1).filter(F.col("z") < most)
+    """The first `most` images of each bucket in arrival order, numbered from 0; tasks drop what lies beyond before the shuffle."""
+    placed = images.withColumn("z", F.row_number().over(Window.partitionBy("bucket").orderBy(*order)))
+    return placed.filter(F.col("z") <= most).withColumn("z", F.col("z") - 1)
 
 
 def promote(images: DataFrame) -> DataFrame:

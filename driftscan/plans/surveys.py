@@ -254,7 +254,7 @@ def placed_points(spark, d):
 u AS (SELECT event_type, unnest([1, 3, 12]) AS factor, days FROM s)
 SELECT event_type, factor, CASE WHEN days * factor <= 30 THEN 'hour' WHEN days * factor <= 90 THEN 'day' ELSE 'week' END AS unit FROM u""")
 def granularity(spark, d):
-    spans = load(spark, d, "events").groupBy("event_type").agg(((F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 86_400_000_000.0).alias("days"))
+    spans = load(spark, d, "events").groupBy("event_type").agg(((F.unix_micros(F.max("ts").cast("timestamp_ltz")) - F.unix_micros(F.min("ts").cast("timestamp_ltz"))) / 86_400_000_000.0).alias("days"))
     return spans.select("event_type", F.explode(F.array(*map(F.lit, (1, 3, 12)))).alias("factor"), "days").select("event_type", "factor", stats.unit_of(F.col("days") * F.col("factor")).alias("unit"))
 
 
