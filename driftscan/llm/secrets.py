@@ -53,16 +53,16 @@ def _let(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def prefix_sums(a: Column) -> Column:
-    """Inclusive running sums of an array of longs, block by block, so that long arrays are not copied once an element."""
-    zero, none = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
+def running(a: Column, op, first: int = 0) -> Column:
+    """What op, an associative one, makes of an array of longs up to each of them, block by block, so that long arrays are not copied once an element."""
+    zero, none = F.lit(first).cast("bigint"), F.array().cast("array<bigint>")
 
     def scan(xs: Column, start: Column) -> Column:
         first = F.struct(start.alias("s"), none.alias("xs"))
-        return F.aggregate(xs, first, lambda acc, x: F.struct((acc["s"] + x).alias("s"), F.concat(acc["xs"], F.array(acc["s"] + x)).alias("xs")), lambda acc: acc["xs"])
+        return F.aggregate(xs, first, lambda acc, x: F.struct(op(acc["s"], x).alias("s"), F.concat(acc["xs"], F.array(op(acc["s"], x))).alias("xs")), lambda acc: acc["xs"])
 
     def joined(blocks: Column) -> Column:
-        sums = scan(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda s, x: s + x)), zero)
+        sums = scan(F.transform(blocks, lambda b: F.aggregate(b, zero, op)), zero)
         starts = F.concat(F.array(zero), sums)
         return F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), scan))
 
@@ -73,6 +73,11 @@ def prefix_sums(a: Column) -> Column:
     return _let(a, cut)
 
 
+def prefix_sums(a: Column) -> Column:
+    """Inclusive running sums of an array of longs."""
+    return running(a, lambda s, x: s + x)
+
+
 def matches(text: Column, pattern: str, sign: Column) -> Column:
     """start, stop (code points, the stop exclusive) and match of all matches; `sign` is what no text with a match can do without."""
 
@@ -178,7 +183,8 @@ def find_secrets(documents: DataFrame, reach: int = 200, keep: list[str] | None
     joined = found.filter(both).join(link_parts(found.filter(both).select("row_id", "parts"), reach), "row_id", "left")
     joined = joined.select("row", base.alias("base"), F.coalesce("linked", none).alias("linked"))
     out = found.filter(~both).select("row", base.alias("base"), none.alias("linked")).unionByName(joined)
-    return out.withColumn("spans", F.array_sort(F.array_union("base", "linked")))
+    # linked strong spans are among base already
+    return out.withColumn("spans", F.array_sort(F.concat("base", F.filter("linked", lambda s: s["kind"] >= len(BASE)))))
 
 
 def credentials(span_list: str | Column, reach: int = 200) -> Column:
@@ -193,18 +199,27 @@ def spell(span_list: str | Column) -> Column:
     return F.array_join(F.transform(span_list, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+#: A code point has the same number of bytes everywhere in it, so that a place in the text needs no walk.
+_FIXED = "UTF-32"
+
+
 def redact(text: Column, span_list: Column, mask: str = "[redacted]") -> Column:
-    """Text with each run of overlapping spans replaced by the mask; what is left of the text is walked through once."""
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), text.alias("rest"), F.lit("").alias("out"))
+    """Text with each run of overlapping sorted spans replaced by the mask, in time in proportion to the text and its spans."""
+
+    def cut(x: Column) -> Column:
+        wide, spans, reached = x["wide"], x["spans"], x["reached"]
+        before = F.concat(F.array(F.lit(0).cast("bigint")), F.slice(reached, F.lit(1), F.size(reached) - 1))
+
+        def part(start: Column, size: Column) -> Column:
+            return F.decode(F.substring(wide, (4 * start + 1).cast("int"), (4 * size).cast("int")), _FIXED)
 
-    def step(acc, s):
-        gap = s["start"] - acc["at"]
-        stop = F.greatest(acc["at"], s["stop"])
-        told = F.when(gap >= 0, F.concat(acc["out"], F.substring(acc["rest"], F.lit(1), gap.cast("int")), F.lit(mask))).otherwise(acc["out"])
-        return F.struct(stop.alias("at"), F.substring(acc["rest"], (stop - acc["at"] + 1).cast("int"), F.length(text)).alias("rest"), told.alias("out"))
+        kept = F.zip_with(spans, before, lambda s, at: F.when(s["start"] >= at, F.concat(part(at, s["start"] - at), F.lit(mask))).otherwise(""))
+        last = F.element_at(reached, -1)
+        return F.concat(F.array_join(kept, ""), part(last, F.floor(F.length(wide) / 4) - last))
 
-    done = F.aggregate(span_list, first, step, lambda acc: F.concat(acc["out"], acc["rest"]))
-    return F.when(F.size(span_list) > 0, done).otherwise(text)
+    reached = running(F.transform(span_list, lambda s: s["stop"]), lambda s, x: F.greatest(s, x))
+    masked = _let(F.struct(F.encode(text, _FIXED).alias("wide"), span_list.alias("spans"), reached.alias("reached")), cut)
+    return F.when(F.size(span_list) > 0, masked).otherwise(text)
 
 
 def oracle_sql(reach: int = 200) -> str:
