@@ -1,9 +1,10 @@
 """A training corpus from raw documents, in five stages over the columns of documents.
 
 Each stage works on all that the one before it kept, and is written as Parquet
-to the shared folder and read again as the next one's input. run() drops a
-stage's scratch tables and its input as soon as its result is written; those of
-the last stage go with the application.
+to the shared folder and read again as the next one's input. A stage drops the
+scratch tables of the one before it when it starts, unless its input still reads
+them, so that they never add up; run() drops a stage's input as soon as its
+result is written. Those of the last stage go with the application.
 
 Every stage takes null values in any column, empty texts, repeated rows, empty
 tables and columns of any further names, and says what becomes of them.
@@ -11,6 +12,7 @@ tables and columns of any further names, and says what becomes of them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,32 @@ FACTORS = {"good": 1.0, "good_toxic": 0.0, "low": 0.5, "low_toxic": 0.0}
 ORACLE_SQL = None
 
 
+_left: dict[str, list[str]] = {}
+
+
+def _stage(f: Callable) -> Callable:
+    """f, which begins by dropping what the stage before it, whose result has been written by then, left in the shared folder."""
+
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        read = docs.inputFiles() if _left.get(app) else []
+        kept = []
+        for path in _left.get(app, []):
+            name = path.rpartition("/")[2]
+            if any(f"/{name}/" in p for p in read):
+                kept.append(path)
+            else:
+                drop_path(spark, path)
+        with scratch_tables() as made:
+            out = f(spark, docs, sf_dir)
+        _left[app] = [*kept, *made]
+        return out
+
+    return run_stage
+
+
+@_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: no letter (null and empty texts too), or no language with LEAST_SCORE."""
     ship(spark)
@@ -34,6 +62,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked at a similarity of 0.8, that of the least doc_id stays. Rows without an id stay.
 
@@ -52,6 +81,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.unionByName(docs.filter("doc_id is null"))
 
 
+@_stage
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; what was found in their texts is masked, and n_chars follows."""
     found = secrets.find_secrets(docs)
@@ -60,6 +90,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
+@_stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rates from 0 to 1, fitted to FACTORS, decide which documents stay.
 
@@ -71,6 +102,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.apply_rates(rated)
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 ids. Null and empty texts have their end id alone; repeated rows and null ids are documents of their own."""
     import public_tokenizers
@@ -89,13 +121,12 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, done = load(spark, sf_dir, "documents"), []
+    docs, read = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
         with scratch_tables() as made:
-            out = stage(spark, docs, sf_dir)
-            used = [*done, *made]
             docs = materialize(out, name)
-            done = made[-1:]
-        for path in used:
-            drop_path(spark, path)
+        if read:
+            drop_path(spark, read)
+        read = made[-1]
     return STAGES[-1][1](spark, docs, sf_dir)
