@@ -95,8 +95,7 @@ def _export(a) -> None:
     stages, c = survey.Stages(get_session(), a.work), _configured(a)
     kept = survey.filter_images(stages, c).filter("not is_bubble")
     where = archives.locate(kept.select("tar_path", "filename", "bubble_score", "object_count"), stages.table("index", c.stream.tar_paths, lambda: archives.member_index(tar.archives(stages.spark, *c.stream.tar_paths).select("tar_path"))), "filename")
-    records = archives.fetch(where).filter("error is null").drop("member_idx", "name", "size", "data_offset", "error")
-    exports.export_archives(records, mounted(a.out), a.cruise_name, a.bin_minutes, a.max_bubble_score, a.min_object_count)
+    exports.export_archives(where, mounted(a.out), a.cruise_name, a.bin_minutes, a.max_bubble_score, a.min_object_count)
     _tell(exports.manifest(stages.spark, mounted(a.out)))
 
 
@@ -111,6 +110,8 @@ def _report(a) -> None:
     _tell(stats.extent(rows, "datetime"))
     _tell(stats.class_statistics(rows).orderBy("pred_label"))
     _tell(stats.track_bounds(rows))
+    unit, counts = stats.survey_coverage(rows, "datetime")
+    _tell(counts.orderBy("unit_start").withColumnRenamed("unit_start", unit))
 
 
 def parser() -> argparse.ArgumentParser:

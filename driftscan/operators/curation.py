@@ -68,3 +68,22 @@ def quarantine(files: DataFrame, name: str, when: str, *order: str) -> DataFrame
     """Names under which corrupt files are kept: the plain one first, then with time and a sequence number; `order` decides at one time."""
     n = F.row_number().over(Window.partitionBy(name).orderBy(when, *order)) - 1
     return files.withColumn("kept_as", F.when(n == 0, F.col(name)).otherwise(F.concat_ws("_", F.date_format(when, "yyyyMMddHHmmss"), n.cast("string"), F.col(name))))
+
+
+def corrupt_list(images: DataFrame, error: str = "error") -> DataFrame:
+    """tar_path, filename and error of every damaged image, to be kept as a list and excluded on the next run."""
+    return images.filter(F.col(error).isNotNull()).select("tar_path", "filename", F.col(error).alias("error"))
+
+
+def record_table(images: DataFrame, *order: str) -> DataFrame:
+    """bucket, index within it, filename, tar_path, shape (height, width and, for colour, channels) and dtype of grouped images."""
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(*(order or ("tar_path", "member_idx")))) - 1
+    colour = F.when(F.col("channels") > 1, F.array("channels")).otherwise(F.array().cast("array<int>"))
+    return images.select("bucket", place.alias("index"), "filename", "tar_path", F.concat(F.array("height", "width"), colour).alias("shape"), "dtype")
+
+
+def first_names(members: DataFrame, most: int = 10) -> DataFrame:
+    """tar_path and the names of the first `most` members of each archive, in its order; no more of them meet in a task."""
+    rank = F.row_number().over(Window.partitionBy("tar_path").orderBy("member_idx"))
+    first = members.filter("member_idx >= 0").select("tar_path", "member_idx", "name").withColumn("rank", rank).filter(F.col("rank") <= most)
+    return first.groupBy("tar_path").agg(F.transform(F.array_sort(F.collect_list(F.struct("member_idx", "name"))), lambda m: m["name"]).alias("names"))

@@ -63,6 +63,13 @@ def choose_unit(days: float) -> str:
     return "hour" if days <= 30 else "day" if days <= 90 else "week"
 
 
+def survey_coverage(rows: DataFrame, ts: str) -> tuple[str, DataFrame]:
+    """The unit that suits the rows' span, and their coverage by it. Rows without a time count for neither."""
+    span = rows.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    unit = choose_unit((span["hi"] - span["lo"]).total_seconds() / 86400 if span["lo"] else 0.0)
+    return unit, coverage(rows, ts, unit)
+
+
 def unit_of(days) -> Column:
     """The unit in which a span of days is shown, as a column."""
     return F.when(days <= 30, "hour").when(days <= 90, "day").otherwise("week")

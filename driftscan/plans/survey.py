@@ -49,7 +49,8 @@ def read_images(stages: Stages, config: Config) -> DataFrame:
 
     def images() -> DataFrame:
         at = stages.table("index", c.tar_paths, index)
-        members = archives.split_members(archives.splits(at)).filter(X.suffix("name").isin(*c.extensions))
+        endings = tuple(c.extensions)
+        members = archives.split_members(archives.splits(at), wanted=lambda name: name.lower().endswith(endings))
         return tar.decode_images(members, c.convert_mode, c.min_size, c.max_size)
 
     found = stages.table("images", asdict(c) | {"max_images": None}, images)
@@ -61,18 +62,30 @@ def read_images(stages: Stages, config: Config) -> DataFrame:
 
 
 def filter_images(stages: Stages, config: Config) -> DataFrame:
-    """All good images with is_bubble, bubble_score and object_count by the rules; images without objects are kept."""
-    r = config.rule_filter
+    """All good images with is_bubble, bubble_score and object_count; images without objects are kept.
+
+    With weights (filter.checkpoint_path, an .npz) an autoencoder's score of the
+    objects' mean features decides, else the rules do. Other files of weights
+    cannot be read and are an error.
+    """
+    r, weights = config.rule_filter, config.filter.checkpoint_path
+    if weights and not weights.endswith(".npz"):
+        raise ValueError(f"weights are read from .npz files, not {weights}")
 
     def verdicts() -> DataFrame:
         good = read_images(stages, config).filter("error is null")
-        found = objects.objects(good, sigma=r.spot_sigma, ring=r.annulus_width if r.local_background else None)
+        found = objects.objects(good, sigma=config.filter.spot_sigma if weights else r.spot_sigma, ring=r.annulus_width if r.local_background and not weights else None)
+        if weights:
+            features, *layers = objects.load_layers(weights)
+            means = rules.object_means(rules.derive_shapes(found).withColumn("image_id", F.struct("tar_path", "filename")), "image_id", [f for f in features if f != "object_count"])
+            scored = objects.mlp_scores(means.select("image_id.*", *features, *(["object_count"] if "object_count" not in features else [])), features, *layers)
+            return scored.select("tar_path", "filename", objects.is_artefact("score", config.filter.threshold).alias("is_bubble"), F.col("score").alias("bubble_score"), "object_count")
         if r.local_background:
             found = found.withColumn("mean_optical_density", F.coalesce("local_mean_od", "mean_optical_density")).withColumn("intensity_ratio", F.coalesce("local_intensity_ratio", "intensity_ratio"))
         scored = rules.rule_score(found, r.rules()).withColumn("image_id", F.struct("tar_path", "filename"))
         return rules.image_vote(scored).select("image_id.*", "is_bubble", "bubble_score", "object_count")
 
-    said = stages.table("verdicts", [asdict(config.stream), asdict(r)], verdicts)
+    said = stages.table("verdicts", [asdict(config.stream), asdict(config.filter) if weights else asdict(r)], verdicts)
     at = read_images(stages, config).filter("error is null").join(said, ["tar_path", "filename"], "left")
     return at.withColumn("is_bubble", F.coalesce("is_bubble", F.lit(False))).withColumn("bubble_score", F.coalesce("bubble_score", F.lit(0.0))).withColumn("object_count", F.coalesce("object_count", F.lit(0)))
 
@@ -89,7 +102,7 @@ def group_images(stages: Stages, config: Config, skip_filter: bool = False) -> D
         sized = stats.keep_large_buckets(stats.assign_buckets(kept, g.snap_grid or g.tile_size, g.snap_mode), g.min_bucket_size)
         return stats.truncate_buckets(sized, g.max_bucket_size or (1 << 31) - 1, "tar_path", "member_idx")
 
-    return stages.table("bucketed", [asdict(config.stream), asdict(g), None if skip_filter else asdict(config.rule_filter)], bucketed)
+    return stages.table("bucketed", [asdict(config.stream), asdict(g), None if skip_filter else [asdict(config.rule_filter), asdict(config.filter)]], bucketed)
 
 
 def run_counts(stages: Stages, config: Config, skip_filter: bool = False) -> DataFrame:
@@ -123,7 +136,8 @@ def finished_bins(spark: SparkSession, out: str) -> DataFrame | None:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/raw")
     if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
         return None
-    return predictions.csv_headers(spark, f"{out}/raw").select(F.regexp_extract("path", r"_date=([^/]+)", 1).alias("date"), F.regexp_extract("path", r"_time=(\d+)", 1).alias("timestamp")).distinct()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(f"{out}/raw")
+    return files.select(F.regexp_extract("path", r"_date=([^/]+)", 1).alias("date"), F.regexp_extract("path", r"_time=(\d+)", 1).alias("timestamp")).distinct()
 
 
 def classify_survey(spark: SparkSession, source: str, load_model: Callable[[], inference.Model], classes: list[str], cruise: str, out: str, subsample: float = 100, volume: float = 340.0, batch_size: int = 128, size: int = 300) -> DataFrame:

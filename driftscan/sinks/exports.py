@@ -1,9 +1,9 @@
 """Kept images written back as survey archives: one tar for each date and ten-minute bin, with mapping, manifest and checks.
 
-Rows are dealt by ranges of (date, bin) and sorted within tasks, so that a task
-writes its archives one after another, each as a stream, and holds no group. An
-archive is one file by nature: a bin's members go through one task, whose memory
-does not grow with them. Everything is staged and takes its name at the commit.
+Rows are dealt by (date, bin) and sorted within tasks, so that a task writes its
+archives one after another, each as a stream, and holds no group. An archive is
+one file by nature: a bin's members go through one task, whose memory does not
+grow with them. Everything is staged and takes its name at the commit.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from driftscan import functions as X
 from driftscan.session import ship
+from driftscan.sources import archives
 from driftscan.stores import Publication, file_system, files_below
 
 #: Columns of the mapping from each exported member to where it came from and lies now.
@@ -125,14 +126,14 @@ class ExportWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[Exported | None]) -> None:
         to, done = Publication(self.root, self.run), [m for m in messages if m]
-        archives = sorted((a[1:], a[0]) for m in done for a in m.archives)
-        places = [f"source/{a[0]}/{a[2]}" for a, _ in archives]
+        made = sorted((a[1:], a[0]) for m in done for a in m.archives)
+        places = [f"source/{a[0]}/{a[2]}" for a, _ in made]
         if len(set(places)) < len(places):
             to.clear()
             raise RuntimeError("an archive was written by two tasks")
-        manifest = [dict(zip(("date", "timestamp", "tar_filename", "n_images", "bytes"), a, strict=True)) | {"is_valid_bin": a[1].endswith("0")} for a, _ in archives]
+        manifest = [dict(zip(("date", "timestamp", "tar_filename", "n_images", "bytes"), a, strict=True)) | {"is_valid_bin": a[1].endswith("0")} for a, _ in made]
         to.write("export_manifest.json", json.dumps(manifest, indent=1).encode(), "commit")
-        names = {staged: name for (_, staged), name in zip(archives, places, strict=True)}
+        names = {staged: name for (_, staged), name in zip(made, places, strict=True)}
         to.store.create_dir(f"{to.staging}/mapping", recursive=True)
         for k, m in enumerate(m for m in done if m.mapping):
             to.store.move(f"{to.staging}/{m.mapping}", f"{to.staging}/mapping/{k:06}.csv")
@@ -145,6 +146,9 @@ class ExportWriter(DataSourceArrowWriter):
 def export_archives(records: DataFrame, root: str, cruise: str, bin_minutes: int = 10, max_bubble_score: float = 1.0, min_object_count: int = 0) -> None:
     """Writes the exportable records (tar_path, filename, content, and bubble_score, object_count, bucket if there are such) below root.
 
+    Instead of content, records may have the member's place (member_idx, size,
+    data_offset, as archives.locate gives): then the task that writes an archive
+    reads the bytes, and no shuffle carries them; unreadable members are left out.
     root gets source/{date}/{cruise}_{bin}.tar, and metadata: export_manifest.json,
     origin_mapping.csv, and the filter's results of all records by bucket. Members
     bear their base names; the second and further ones of a bin stand in numbered
@@ -159,8 +163,13 @@ def export_archives(records: DataFrame, root: str, cruise: str, bin_minutes: int
     placed = place(records.withColumns(missing) if missing else records, cruise, bin_minutes).withColumn("exported", exportable(max_bubble_score, min_object_count))
     run, group = uuid.uuid4().hex, ["date", "timestamp", "tar_filename"]
     base = F.element_at(F.split(F.translate("filename", "\\", "/"), "/"), -1)
-    rows = placed.filter("exported").repartitionByRange(*group).withColumn("__base", base)
-    rows = rows.sortWithinPartitions(*group, "__base", "tar_path", "filename")
+    rows = placed.filter("exported")
+    located = "content" not in rows.columns
+    if located and not rows.filter("data_offset is null").isEmpty():  # of compressed archives each is read once, in its order
+        rows, located = archives.fetch(rows).filter("error is null"), False
+    rows = rows.withColumn("__base", base).repartition(*group).sortWithinPartitions(*group, "__base", "tar_path", "filename")
+    if located:
+        rows = archives.fetch_in_place(rows).filter("error is null")
     rows.select(*group, "tar_path", "filename", "content").write.format("tar_export").mode("append").option("run", run).save(root)
     results = placed.select("tar_path", "filename", "bubble_score", "object_count", "exported", *group, F.coalesce("bucket", F.lit("none")).alias("bucket"))
     results.write.mode("overwrite").partitionBy("bucket").option("header", "true").csv(f"{root.rstrip('/')}/metadata/filter_results")

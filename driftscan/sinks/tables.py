@@ -29,6 +29,31 @@ def point_features(rows: DataFrame, lat: str = "lat", lon: str = "lon") -> DataF
     return rows.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.to_json(feature).alias("value"))
 
 
+def line_features(lines: DataFrame, line: str = "line") -> DataFrame:
+    """value: each row's points (an array of structs with lon and lat, in order) as a GeoJSON line, its other columns as properties.
+
+    Points without a place are left out; lines of fewer than two points that
+    have one have no feature.
+    """
+    rest = [c for c in lines.columns if c != line]
+    at = F.transform(F.filter(line, lambda p: p["lat"].isNotNull() & p["lon"].isNotNull()), lambda p: F.array(p["lon"].cast("double"), p["lat"].cast("double")))
+    placed = lines.select(*rest, at.alias("__at")).filter(F.size("__at") > 1)
+    geometry = F.struct(F.lit("LineString").alias("type"), F.col("__at").alias("coordinates"))
+    return placed.select(F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*rest).alias("properties"))).alias("value"))
+
+
+def write_lines(lines: DataFrame, path: str, line: str = "line") -> None:
+    """Track segments as newline-delimited GeoJSON features."""
+    line_features(lines, line).write.mode("overwrite").text(path)
+
+
+def write_csv(rows: DataFrame, path: str, digits: int | None = None) -> None:
+    """A table as CSV with a header, doubles and floats with exactly so many digits after the point."""
+    if digits is not None:
+        rows = rows.select(*(F.when(F.col(f"`{c}`").isNotNull(), F.format_string(f"%.{digits}f", F.col(f"`{c}`").cast("double"))).alias(c) if t in ("double", "float") else F.col(f"`{c}`") for c, t in rows.dtypes))
+    rows.write.mode("overwrite").option("header", "true").csv(path)
+
+
 def write_points(rows: DataFrame, path: str, lat: str = "lat", lon: str = "lon") -> None:
     """Points as newline-delimited GeoJSON features."""
     point_features(rows, lat, lon).write.mode("overwrite").text(path)

@@ -14,7 +14,6 @@ or read becomes a row with an error.
 from __future__ import annotations
 
 import bz2
-import contextlib
 import gzip
 import io
 import lzma
@@ -182,15 +181,15 @@ def splits(index: DataFrame, split_bytes: int = 128 << 20) -> DataFrame:
     return grouped.select("tar_path", "start", "stop", F.when(F.col("start").isNull(), 0).otherwise(F.col("first")).alias("first"), "n_members")
 
 
-def split_members(pieces: DataFrame, with_content: bool = True, n_tasks: int | None = None) -> DataFrame:
-    """MEMBERS rows of all pieces, dealt over tasks by place, so that one archive's pieces go to many."""
+def split_members(pieces: DataFrame, with_content: bool = True, n_tasks: int | None = None, wanted: Callable[[str], bool] = lambda name: True) -> DataFrame:
+    """MEMBERS rows of all pieces, dealt over tasks by place, so that one archive's pieces go to many; of files with other than wanted names nothing is read."""
     ship(pieces.sparkSession)
     names = MEMBERS.names if with_content else [n for n in MEMBERS.names if n != "content"]
     schema = T.StructType([MEMBERS[n] for n in names])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = (x for b in parts for x in zip(*(_column(b, n) for n in ("tar_path", "start", "stop", "first")), strict=True))
-        yield from batches((r for x in at for r in read_split(*x, with_content)), MEMBERS, 4, names)
+        yield from batches((r for x in at for r in read_split(*x, with_content, wanted=wanted)), MEMBERS, 4, names)
 
     by = ["tar_path", "start"]
     return (pieces.repartition(n_tasks, *by) if n_tasks else pieces.repartition(*by)).mapInArrow(run, schema)
@@ -206,47 +205,63 @@ def locate(samples: DataFrame, index: DataFrame, on: str = "id") -> DataFrame:
     return samples.withColumn("__base", X.basename(on)).join(places, ["tar_path", "__base"], "left").drop("__base")
 
 
+#: So many archives a task keeps open at once.
+MOST_OPEN = 16
+
+
+class _Archive:
+    """An open archive whose members are read by place, or, without one, by going on through it."""
+
+    def __init__(self, path: str, opened: Callable):
+        self.file, self.members = opened(path), None
+        self.last: tuple[int, bytes | None] = (-1, None)
+
+    def read(self, member_idx: int, size: int, at: int | None) -> tuple[bytes | None, str | None]:
+        if size > LARGEST:
+            return None, f"a member of {size} bytes"
+        if at is None:
+            if self.members is None or member_idx < self.last[0]:
+                self.file.seek(0)
+                self.members, self.last = enumerate(walk(self.file)), (-1, None)
+            if member_idx != self.last[0]:
+                tar, m = next(x for k, x in self.members if k == member_idx)
+                self.last = (member_idx, tar.extractfile(m).read())
+            return self.last[1], None
+        self.file.seek(at)
+        data = b""
+        while len(data) < size and (more := self.file.read(size - len(data))):
+            data += more
+        return (data, None) if len(data) == size else (None, "unexpected end of data")
+
+
 def _ranges(rows: Iterator[tuple], opened: Callable = open_file) -> Iterator[tuple[bytes | None, str | None]]:
-    """Content and error of each (tar_path, member_idx, size, data_offset), rows of one archive together and in its order."""
-    with contextlib.ExitStack() as stack:
-        path = file = members = None
-        last: tuple[int, bytes | None, str | None] = (-1, None, None)
+    """Content and error of each (tar_path, member_idx, size, data_offset); rows of one archive are best together and in its order."""
+    held: dict[str, _Archive] = {}
+    try:
         for tar_path, member_idx, size, at in rows:
             if member_idx is None:
                 yield None, "no such member"
                 continue
             try:
-                if tar_path != path:
-                    stack.close()
-                    path, file, members, last = None, stack.enter_context(opened(tar_path)), None, (-1, None, None)
-                    path = tar_path
-                if size > LARGEST:
-                    yield None, f"a member of {size} bytes"
-                elif at is not None:
-                    file.seek(at)
-                    data = b""
-                    while len(data) < size and (more := file.read(size - len(data))):
-                        data += more
-                    yield (data, None) if len(data) == size else (None, "unexpected end of data")
-                else:
-                    if members is None:
-                        file.seek(0)
-                        members = enumerate(walk(file))
-                    if last[0] != member_idx:
-                        tar, m = next(x for k, x in members if k == member_idx)
-                        last = (member_idx, tar.extractfile(m).read(), None)
-                    yield last[1:]
+                if tar_path not in held:
+                    if len(held) >= MOST_OPEN:
+                        held.pop(next(iter(held))).file.close()
+                    held[tar_path] = _Archive(tar_path, opened)
+                found = held[tar_path].read(member_idx, size, at)
             except (*UNREADABLE, StopIteration) as e:
-                members = None
-                yield None, f"{type(e).__name__}: {e}"[:200]
+                if tar_path in held:
+                    held.pop(tar_path).file.close()
+                found = None, f"{type(e).__name__}: {e}"[:200]
+            yield found
+    finally:
+        for a in held.values():
+            a.file.close()
 
 
-def fetch(located: DataFrame) -> DataFrame:
-    """located rows (tar_path, member_idx, size, data_offset and any others) with content and error.
+def fetch_in_place(located: DataFrame) -> DataFrame:
+    """As fetch, but rows are read in the order and by the tasks in which they are.
 
-    Only the bytes of these members are read. Rows are dealt by ranges of archive
-    and place: a task opens an archive once, and one archive that most rows want
-    is spread over tasks. A missing or unreadable member has an error and no content.
+    Members without a data_offset have to come in the order of their archive.
     """
     ship(located.sparkSession)
     own = [c for c in located.columns if c not in ("content", "error")]
@@ -265,8 +280,18 @@ def fetch(located: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.string())], schema.names)
                     first, held, got = k + 1, 0, []
 
+    return located.select(*own).mapInArrow(run, schema)
+
+
+def fetch(located: DataFrame) -> DataFrame:
+    """located rows (tar_path, member_idx, size, data_offset and any others) with content and error.
+
+    Only the bytes of these members are read. Rows are dealt by ranges of archive
+    and place: a task opens an archive once, and one archive that most rows want
+    is spread over tasks. A missing or unreadable member has an error and no content.
+    """
     order = [F.col("tar_path"), F.col("member_idx")]
-    return located.select(*own).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+    return fetch_in_place(located.repartitionByRange(*order).sortWithinPartitions(*order))
 
 
 class ArchiveSource(DataSource):

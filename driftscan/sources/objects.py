@@ -48,5 +48,17 @@ def mlp_scores(vectors: DataFrame, features: list[str], layers: list[tuple[np.nd
     return vectors.select(*kept).mapInArrow(run, T.StructType([*vectors.select(*kept).schema.fields, T.StructField("score", T.DoubleType())]))
 
 
+def load_layers(path: str) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray, str]], np.ndarray, np.ndarray]:
+    """features, layers, mean and std for mlp_scores from an .npz: arrays features, mean, std, and w0, b0, act0, w1, …"""
+    from driftscan.stores import open_file
+
+    with open_file(path) as f, np.load(f, allow_pickle=False) as z:
+        layers = []
+        while f"w{len(layers)}" in z:
+            k = len(layers)
+            layers.append((z[f"w{k}"], z[f"b{k}"], str(z[f"act{k}"])))
+        return [str(x) for x in z["features"]], layers, z["mean"], z["std"]
+
+
 def is_artefact(score: Column | str, threshold: float = 0.5) -> Column:
     return (F.col(score) if isinstance(score, str) else score) >= threshold

@@ -126,6 +126,25 @@ def test_export_archives(spark, tmp_path):
     assert merged[4]["origin_filename"] == "RawImages/b.tif" and merged[5]["origin_tar"] is None
 
 
+@pytest.mark.parametrize("mode", ["w", "w:gz"])
+def test_export_of_located_members_reads_them_where_they_are_written(spark, tmp_path, mode):
+    """Two source archives of one bin, whose members alternate in the export."""
+    for stamp in ("1231", "1234"):
+        with tarfile.open(tmp_path / f"run_{stamp}.tar", mode) as t:
+            for k in range(30):
+                info = tarfile.TarInfo(f"RawImages/{k:02}.tif")
+                info.size = len(stamp) + k
+                t.addfile(info, io.BytesIO(stamp.encode() + b"x" * k))
+    index = archives.member_index(tar.archives(spark, str(tmp_path)))
+    rows = index.filter("member_idx % 3 > 0").select("tar_path", F.col("name").alias("filename"), "member_idx", "size", "data_offset")
+    gone = spark.createDataFrame([("/none/run_1230.tar", "q.tif", 0, 5, 512 if mode == "w" else None)], rows.schema)
+    exports.export_archives(rows.unionByName(gone), str(tmp_path / "out"), "c")
+    with tarfile.open(tmp_path / "out/source/1970-01-01/c_1230.tar") as t:
+        held = {m.name: t.extractfile(m).read() for m in t}
+    want = {f"RawImages/{'' if s == '1231' else '1/'}{k:02}.tif": s.encode() + b"x" * k for s in ("1231", "1234") for k in range(30) if k % 3}
+    assert held == want
+
+
 def test_export_again_replaces_and_validates(spark, tmp_path):
     rows = spark.createDataFrame([(*r[:2], bytearray(r[2] or b"")) for r in RECORDS], "tar_path string, filename string, content binary")
     exports.export_archives(rows, f"file://{tmp_path}", "c", bin_minutes=7)

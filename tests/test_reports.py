@@ -47,3 +47,30 @@ def test_small_objects_that_touch_at_a_corner_are_small():
     mask = np.zeros((20, 20), bool)
     mask[2:8, 2:9] = mask[8:14, 9:16] = True
     assert regions.components(mask, eight=False).max() == 2 and regions.components(mask).max() == 1
+
+
+def test_lines_and_digits(spark, tmp_path):
+    df = spark.createDataFrame([("a", 0, [(50.5, -4.0, 1), (None, 1.0, 2), (51.0, -4.5, 3)]), ("b", 1, [(50.0, 1.0, 1)]), ("c", 2, [])], "key string, segment_id int, line array<struct<lat:double,lon:double,id:int>>")
+    tables.write_lines(df, str(tmp_path / "l"))
+    f = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "l")).collect()]
+    assert len(f) == 1 and f[0]["geometry"] == {"type": "LineString", "coordinates": [[-4.0, 50.5], [-4.5, 51.0]]} and f[0]["properties"] == {"key": "a", "segment_id": 0}
+    tables.write_csv(spark.createDataFrame([(1, 2.0, None), (2, 0.12345678949, 1.5)], "n int, `a.b` double, c float"), str(tmp_path / "d"), 9)
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "d")).distinct().collect()) == ["1,2.000000000,", "2,0.123456789,1.500000000", "n,a.b,c"]
+
+
+def test_lists_of_images(spark):
+    df = spark.createDataFrame([("t1", k, f"{k}.tif", "300x300", 5, 6, 1 + 2 * (k % 2), "uint8", "bad" if k == 3 else None) for k in range(14)], "tar_path string, member_idx int, filename string, bucket string, height int, width int, channels int, dtype string, error string")
+    assert [tuple(r) for r in curation.corrupt_list(df).collect()] == [("t1", "3.tif", "bad")]
+    rows = {r["index"]: r for r in curation.record_table(df).collect()}
+    assert list(rows[0]["shape"]) == [5, 6] and list(rows[1]["shape"]) == [5, 6, 3] and rows[13]["filename"] == "13.tif"
+    assert [list(r["names"]) for r in curation.first_names(df.withColumnRenamed("filename", "name")).collect()] == [[f"{k}.tif" for k in range(10)]]
+
+
+def test_coverage_by_the_unit_that_suits(spark):
+    from driftscan.operators import stats
+
+    for days, unit in ((3, "hour"), (60, "day"), (200, "week")):
+        df = spark.createDataFrame([("2024-01-01 10:00:00",), (None,)], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts")).unionByName(spark.range(1).select((F.lit("2024-01-01 10:00:00").cast("timestamp_ntz") + F.expr(f"INTERVAL '{days}' DAY")).alias("ts")))
+        got, rows = stats.survey_coverage(df, "ts")
+        assert got == unit and rows.agg(F.sum("count")).first()[0] == 2
+    assert stats.survey_coverage(df.limit(0), "ts")[0] == "hour"

@@ -159,6 +159,18 @@ def test_preprocess_resumes_from_written_stages(spark, images, tmp_path, monkeyp
     assert {r["bucket"] for r in survey.preprocess(spark, other, str(tmp_path / "work"), skip_filter=True, skip_arrays=True).collect()} == {"200x200", "400x200"}
 
 
+def test_an_autoencoders_score_decides_where_there_are_weights(spark, images, tmp_path):
+    """Weights that call images with large objects artefacts."""
+    at = str(tmp_path / "w.npz")
+    np.savez(at, features=["area", "solidity", "object_count"], mean=np.zeros(3), std=np.ones(3), w0=np.array([[1.0], [0], [0]]), b0=np.array([-3000.0]), act0="linear", w1=np.array([[1.0]]), b1=np.array([0.0]), act1="sigmoid")
+    c = configured(images, tmp_path / "o", filter={"checkpoint_path": at, "threshold": 0.5, "spot_sigma": 1.0})
+    got = survey.filter_images(survey.Stages(spark, str(tmp_path / "w")), c).collect()
+    assert {r["filename"]: r["is_bubble"] for r in got} == {"a.png": True, "bubble.png": False, "b.tif": False}
+    assert all((r["bubble_score"] >= 0.5) == r["is_bubble"] for r in got)
+    with pytest.raises(ValueError):
+        survey.filter_images(survey.Stages(spark, str(tmp_path / "w")), configured(images, tmp_path / "o", filter={"checkpoint_path": "models/x.pth"}))
+
+
 def test_max_images_is_exact_and_in_archive_order(spark, images, tmp_path):
     c = configured(images, tmp_path / "o", stream={"tar_paths": [str(images)], "min_size": [100, 100], "max_images": 4})
     got = survey.read_images(survey.Stages(spark, str(tmp_path / "w")), c).filter("error is null").collect()
