@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftscan import functions as X
-from driftscan.operators import counters, curation, rules, sampling, stats
+from driftscan.operators import counters, curation, ranges, rules, sampling, stats
 from driftscan.plans.reports import _P, _T, _images, _points
 from driftscan.session import load, materialize, shared_dir
 from driftscan.sinks import arrays, exports, folders
@@ -367,3 +367,86 @@ def local_background(spark, d):
     whole = p.withColumn("mean_optical_density", F.col("p_size") / 4.0)
     near = p.withColumn("mean_optical_density", F.when((F.col("label") % 2 == 0) & (F.col("label") % 6 != 0), F.col("p_size") / 2.0)).drop("p_size")
     return rules.combine_first(near, whole, ["image_id", "label"])
+
+
+# --- detail rows, side-cars, verdicts, orders -----------------------------------------------------
+
+_VOCABULARY = [f"class_{k:02}" for k in range(64)]
+_SHOT = """SELECT vec_id, '/survey/2024-01-0' || (vec_id % 6 + 1) || '/run_' || lpad((vec_id % 3 + 10)::VARCHAR, 2, '0') || '20.tar' AS tar_path, CASE WHEN vec_id % 40 = 0 THEN 'x/Background.tif' ELSE 'RawImages\\' || 'pi' || (vec_id % 9) || '.2024.' || vec_id || '.tif' END AS id, embedding FROM embeddings"""
+
+
+def _shots(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors as probabilities of 64 classes of images in archives."""
+    key = F.col("vec_id")
+    path = F.concat(F.lit("/survey/2024-01-0"), (key % 6 + 1).cast("string"), F.lit("/run_"), F.lpad((key % 3 + 10).cast("string"), 2, "0"), F.lit("20.tar"))
+    name = F.when(key % 40 == 0, "x/Background.tif").otherwise(F.concat(F.lit("RawImages\\pi"), (key % 9).cast("string"), F.lit(".2024."), key.cast("string"), F.lit(".tif")))
+    return load(spark, d, "embeddings").select("vec_id", path.alias("tar_path"), name.alias("id"), F.col("embedding").alias("probs"))
+
+
+@query(f"""WITH p AS (SELECT *, list_position(embedding, list_max(embedding)) - 1 AS k FROM ({_SHOT}) WHERE id NOT LIKE '%Background.tif%')
+SELECT vec_id, 'cruise' AS cruise_name, k::INT AS pred_id, 'class_' || lpad(k::VARCHAR, 2, '0') AS pred_label, round(list_max(embedding)::DOUBLE, 6) AS pred_conf, regexp_extract(tar_path, '\\d{{4}}-\\d{{2}}-\\d{{2}}') AS date, (vec_id % 3 + 10) || ':20' AS time,
+(regexp_extract(tar_path, '\\d{{4}}-\\d{{2}}-\\d{{2}}') || ' ' || (vec_id % 3 + 10) || ':20:00')::TIMESTAMP AS datetime, first_value(string_split(string_split(id, '\\')[-1], '.')[1]) OVER (PARTITION BY tar_path ORDER BY id) AS instrument_code, round(embedding[6]::DOUBLE, 6) AS class_05_conf FROM p""")
+def detail_rows(spark, d):
+    """Detail rows of classified images: labels, confidences, instrument, date and time of the bin, without backgrounds."""
+    rows = predictions.widen(predictions.detail(_shots(spark, d), _VOCABULARY, "cruise"), _VOCABULARY)
+    return rows.select("vec_id", "cruise_name", "pred_id", "pred_label", F.round(F.col("pred_conf").cast("double"), 6).alias("pred_conf"), "date", "time", "datetime", "instrument_code", F.round(F.col("class_05_conf").cast("double"), 6).alias("class_05_conf"))
+
+
+@query("""WITH l AS (SELECT time_bucket(INTERVAL '10 minutes', ts) AS bin, user_id AS hits, event_id % 4 AS misses FROM events)
+SELECT strftime(bin, '%Y%m%d%H%M') AS bin, sum(hits)::BIGINT AS hits, sum(misses)::BIGINT AS misses, round(CASE WHEN sum(hits) + sum(misses) = 0 THEN 0 ELSE sum(hits) / (sum(hits) + sum(misses)) END, 9)::DOUBLE AS subsample_factor FROM l GROUP BY 1""")
+def side_car_totals(spark, d):
+    """Hits and misses of each archive's side-car, a text of lines as archives hold it."""
+    e = load(spark, d, "events").select(F.date_format(X.bin_start("ts"), "yyyyMMddHHmm").alias("bin"), F.concat(F.col("user_id").cast("string"), F.lit(","), (F.col("event_id") % 4).cast("string")).alias("line"))
+    texts = e.groupBy("bin").agg(F.concat(F.array_join(F.collect_list("line"), "\r\n"), F.lit("\n\n")).alias("text"))
+    members = texts.select(F.col("bin").alias("tar_path"), F.lit("HitsMisses.txt").alias("name"), F.col("text").cast("binary").alias("content"))
+    return stats.hits_and_misses(tar.hits_misses(members), "tar_path").select(F.col("tar_path").alias("bin"), "hits", "misses", F.round("subsample_factor", 9).alias("subsample_factor"))
+
+
+@query("""WITH b AS (SELECT event_type, arg_min(value, event_id) AS lat FROM events WHERE user_id % 3 = 0 AND event_type <> 'view' GROUP BY 1)
+SELECT event_id, lat FROM events LEFT JOIN b USING (event_type)""")
+def background_places(spark, d):
+    """Each image's place, that of its archive's background; none where an archive has no background."""
+    e = load(spark, d, "events")
+    places = e.filter((F.col("user_id") % 3 == 0) & (F.col("event_type") != "view")).groupBy("event_type").agg(F.min_by("value", "event_id").alias("lat"))
+    return e.join(places, "event_type", "left").select("event_id", "lat")
+
+
+_VERDICT = "SELECT l_orderkey AS o_orderkey, avg((l_quantity > 25)::INT) > 0.5 AS is_bubble, count(*) AS object_count FROM lineitem WHERE l_linenumber <> 2 GROUP BY 1"
+
+
+@query(f"SELECT o_orderkey, coalesce(object_count, 0)::BIGINT AS object_count FROM orders LEFT JOIN ({_VERDICT}) USING (o_orderkey) WHERE NOT coalesce(is_bubble, false)")
+def artefact_filter(spark, d):
+    """Images that are no artefacts; those without a verdict, as after an error, stay."""
+    objects = load(spark, d, "lineitem").filter("l_linenumber <> 2").select(F.col("l_orderkey").alias("image_id"), (F.col("l_quantity") > 25).alias("is_bubble"), F.lit(0.5).alias("bubble_score"))
+    kept = rules.apply_verdict(load(spark, d, "orders").select(F.col("o_orderkey").alias("image_id")), rules.image_vote(objects))
+    return kept.select(F.col("image_id").alias("o_orderkey"), F.col("object_count").cast("bigint").alias("object_count"))
+
+
+@query(f"""SELECT bucket, count, row_number() OVER (ORDER BY count DESC, bucket) AS by_count, row_number() OVER (ORDER BY h * w, bucket) AS by_size FROM (
+SELECT CAST(ceil(height / 300.0) * 300 AS INT) || 'x' || CAST(ceil(width / 300.0) * 300 AS INT) AS bucket, count(*) AS count, min(CAST(ceil(height / 300.0) * 300 AS INT)) AS h, min(CAST(ceil(width / 300.0) * 300 AS INT)) AS w FROM ({_P}) GROUP BY 1)""")
+def bucket_order(spark, d):
+    """Places of the buckets by their images, most first, and by their pixels, fewest first."""
+    told = stats.bucket_stats(stats.assign_buckets(_images(spark, d), 300)).select("bucket", "count", X.parse_bucket("bucket").alias("size"))
+    sized = told.withColumn("pixels", X.pixel_count("size.height", "size.width")).drop("size")
+    by_count = ranges.positions(sized, F.desc("count"), F.col("bucket"), name="by_count")
+    return ranges.positions(by_count, F.col("pixels"), F.col("bucket"), name="by_size").drop("pixels")
+
+
+@query("SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS place FROM part")
+def places_in_order(spark, d):
+    """Every part's place by price, numbered without one task that sorts all."""
+    return ranges.positions(load(spark, d, "part").select("p_partkey", "p_retailprice"), F.desc("p_retailprice"), F.col("p_partkey"), name="place").drop("p_retailprice")
+
+
+@query(f"""SELECT bucket, p_partkey, (row_number() OVER (PARTITION BY bucket ORDER BY p_partkey) - 1)::INT AS index, height || ',' || width || CASE WHEN channels > 1 THEN ',3' ELSE '' END AS shape, dtype
+FROM (SELECT *, CAST(ceil(height / 300.0) * 300 AS INT) || 'x' || CAST(ceil(width / 300.0) * 300 AS INT) AS bucket FROM ({_P}))""")
+def record_table(spark, d):
+    """Grouped images as records with their index, shape and type."""
+    rows = stats.assign_buckets(_images(spark, d), 300).withColumn("tar_path", F.lit("t")).withColumn("member_idx", F.col("p_partkey")).withColumn("filename", F.col("p_partkey").cast("string"))
+    return curation.record_table(rows).select("bucket", F.col("filename").cast("bigint").alias("p_partkey"), "index", F.array_join(F.col("shape").cast("array<string>"), ",").alias("shape"), "dtype")
+
+
+@query("SELECT p_brand AS tar_path, string_agg(p_name, ',' ORDER BY p_partkey) AS names FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS r FROM part) WHERE r <= 10 GROUP BY 1")
+def first_names(spark, d):
+    members = load(spark, d, "part").select(F.col("p_brand").alias("tar_path"), F.col("p_partkey").alias("member_idx"), F.col("p_name").alias("name"))
+    return curation.first_names(members).select("tar_path", F.array_join("names", ",").alias("names"))
