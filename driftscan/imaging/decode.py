@@ -127,6 +127,8 @@ def decode_bmp(data: bytes) -> np.ndarray:
     start, _, width, height, _, bits, packed = struct.unpack_from("<IIiiHHI", data, 10)
     if bits not in (24, 32) or packed not in (0, 3):
         raise Unsupported("BMP layout")
+    if packed == 3 and struct.unpack_from("<III", data, 54) != (0xFF0000, 0xFF00, 0xFF):
+        raise Unsupported("BMP colour masks")
     stride = (width * bits // 8 + 3) // 4 * 4
     a = np.frombuffer(data, np.uint8, stride * abs(height), start).reshape(abs(height), stride)
     a = a[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[:, :, 2::-1]
@@ -147,6 +149,49 @@ def decode(data: bytes) -> np.ndarray:
     raise Unsupported("unknown image format")
 
 
+def _verify_tiff(data: bytes) -> None:
+    t = tiff_tags(data)
+    if any(k not in t for k in (256, 257)) or not (273 in t or 324 in t):
+        raise ValueError("TIFF without sizes or data")
+    at, sizes = (t[273], t.get(279)) if 273 in t else (t[324], t.get(325))
+    if sizes is None or any(a + n > len(data) for a, n in zip(at, sizes, strict=True)):
+        raise ValueError("TIFF data are missing")
+
+
+def _verify_png(data: bytes) -> None:
+    at, kinds = 8, []
+    while at < len(data) and b"IEND" not in kinds:
+        n, kind = struct.unpack_from(">I4s", data, at)
+        if zlib.crc32(data[at + 4 : at + 8 + n]) != struct.unpack_from(">I", data, at + 8 + n)[0]:
+            raise ValueError("PNG chunk is damaged")
+        kinds.append(kind)
+        at += 12 + n
+    if not kinds or kinds[0] != b"IHDR" or kinds[-1] != b"IEND":
+        raise ValueError("PNG is cut off")
+
+
+def verify(data: bytes) -> None:
+    """ValueError for a file of no known image format, or whose structure is damaged or cut off; pixels are not decoded."""
+    try:
+        if data[:2] in (b"II", b"MM"):
+            _verify_tiff(data)
+        elif data[:8] == b"\x89PNG\r\n\x1a\n":
+            _verify_png(data)
+        elif data[:2] == b"BM":
+            if len(data) < 54 or struct.unpack_from("<I", data, 10)[0] >= len(data):
+                raise ValueError("BMP is cut off")
+        elif data[:3] == b"\xff\xd8\xff":
+            if not data.rstrip(b"\0").endswith(b"\xff\xd9"):
+                raise ValueError("JPEG is cut off")
+        elif data[:4] == b"RIFF" and data[8:12] == b"WEBP":
+            if struct.unpack_from("<I", data, 4)[0] + 8 > len(data):
+                raise ValueError("WebP is cut off")
+        else:
+            raise ValueError("no known image format")
+    except (struct.error, KeyError, IndexError, TypeError) as e:
+        raise ValueError(f"damaged image: {e}") from e
+
+
 def gps(data: bytes) -> tuple[float, float] | tuple[None, None]:
     """Decimal latitude and longitude of a TIFF's GPS directory; nulls where there is none, or at (0, 0)."""
     try:

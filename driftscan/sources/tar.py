@@ -80,6 +80,35 @@ def decode_images(member_rows: DataFrame, mode: str | None = None, min_size: tup
     return images.filter(F.col("error").isNotNull() | inside)
 
 
+def check_images(member_rows: DataFrame, strict: bool = False) -> DataFrame:
+    """tar_path, member_idx, name, corrupt and error of the image members.
+
+    The lenient check looks at a file's structure, the strict one decodes all
+    pixels as well. Sound files of a form that is not decoded here are not
+    corrupt; members without content are.
+    """
+
+    def run(batches):
+        from driftscan.imaging import decode
+
+        for b in batches:
+            errors = []
+            for content in b.column("content"):
+                try:
+                    decode.verify(content.as_py() or b"")
+                    if strict:
+                        decode.decode(content.as_py() or b"")
+                    errors.append(None)
+                except decode.Unsupported:
+                    errors.append(None)
+                except ValueError as e:
+                    errors.append(str(e)[:200])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([e is not None for e in errors]), pa.array(errors, pa.string())], ["tar_path", "member_idx", "name", "corrupt", "error"])
+
+    images = member_rows.filter(X.suffix("name").isin(*EXTENSIONS)).select("tar_path", "member_idx", "name", "content")
+    return images.mapInArrow(run, "tar_path string, member_idx int, name string, corrupt boolean, error string")
+
+
 def hits_misses(member_rows: DataFrame) -> DataFrame:
     """tar_path, line_no, hits, misses of the HitsMisses.txt side-cars; empty ones have no rows."""
     text = member_rows.filter(X.basename("name") == "HitsMisses.txt").select("tar_path", F.posexplode(F.split(F.col("content").cast("string"), r"\r?\n")).alias("line_no", "line"))

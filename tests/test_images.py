@@ -85,6 +85,33 @@ def test_decoders():
             decode.decode(damaged)
 
 
+def bmp(pixels: np.ndarray, masks: tuple | None = None) -> bytes:
+    h, w = pixels.shape[:2]
+    body = b"".join(bytes(pixels[y, :, [2, 1, 0, 3]].T.tobytes()) for y in range(h - 1, -1, -1))
+    extra = struct.pack("<III", *masks) if masks else b""
+    return b"BM" + struct.pack("<IHHI", 54 + len(extra) + len(body), 0, 0, 54 + len(extra)) + struct.pack("<IiiHHIIiiII", 40, w, h, 1, 32, 3 if masks else 0, len(body), 0, 0, 0, 0) + extra + body
+
+
+def test_colour_masks_of_bitmaps():
+    a = np.random.default_rng(0).integers(0, 255, (3, 5, 4), dtype=np.uint8)
+    assert (decode.decode(bmp(a)) == a[:, :, :3]).all() and (decode.decode(bmp(a, (0xFF0000, 0xFF00, 0xFF))) == a[:, :, :3]).all()
+    with pytest.raises(decode.Unsupported):
+        decode.decode(bmp(a, (0xFF, 0xFF00, 0xFF0000)))
+
+
+def test_lenient_and_strict_checks(spark):
+    a = np.random.default_rng(0).integers(0, 255, (40, 50), dtype=np.uint8)
+    whole, wrong = png(a), bytearray(png(a))
+    at = wrong.index(b"IDAT") + 8
+    wrong[at : at + 4] = b"\xff\xff\xff\xff"
+    n = struct.unpack(">I", wrong[at - 12 : at - 8])[0]
+    wrong[at - 4 + n : at + n] = struct.pack(">I", zlib.crc32(wrong[at - 8 : at - 4 + n]))  # sound chunks around unsound data
+    files = {"a.png": whole, "b.png": whole[:-20], "c.png": bytes(wrong), "d.tif": tiff(a), "e.tif": tiff(a)[:60], "f.tif": b"text", "g.jpg": b"\xff\xd8\xff" + b"x" * 50 + b"\xff\xd9", "h.jpg": b"\xff\xd8\xff" + b"x" * 50, "i.webp": b"RIFF" + struct.pack("<I", 12) + b"WEBP" + b"x" * 8, "j.bmp": bmp(np.zeros((2, 2, 4), np.uint8)), "k.bmp": b"BM12", "l.png": None}
+    rows = spark.createDataFrame([("t", k, n, bytearray(c) if c is not None else None) for k, (n, c) in enumerate(files.items())] + [("t", 99, "no.txt", None)], "tar_path string, member_idx int, name string, content binary")
+    lenient, strict = ({r["name"] for r in tar.check_images(rows, s).collect() if r["corrupt"]} for s in (False, True))
+    assert lenient == {"b.png", "e.tif", "f.tif", "h.jpg", "k.bmp", "l.png"} and strict == lenient | {"c.png"}
+
+
 def test_archives_larger_than_a_value_are_streamed(spark, archive, tmp_path):
     data = (archive / "2024-01-01" / "run_1450.tar").read_bytes()
     (tmp_path / "a b.tar.gz").write_bytes(gzip.compress(data))
