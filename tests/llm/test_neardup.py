@@ -99,3 +99,25 @@ def test_components(spark):
                 todo += near[x]
         assert got[start] == min(seen)
     assert set(got) == set(near)
+
+
+@pytest.mark.parametrize("sample", [1024, 1_000_000])
+def test_sets_larger_than_the_sample_against_all_pairs(spark, sample):
+    """Texts of 3,000 words on both sides of the least similarity, with and without exact comparison."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    docs = []
+    for _ in range(6):
+        base = [word() for _ in range(3000)]
+        for share in (0, 0.005, 0.01, 0.013, 0.016, 0.02, 0.03):  # of words changed; at about 0.016 a fifteenth of all shingles go
+            w = base[:]
+            for k in rng.sample(range(3000), int(3000 * share)):
+                w[k] = word()
+            docs.append(" ".join(w))
+        docs.append(" ".join(base[:2600]))
+    rng.shuffle(docs)
+    rows = list(enumerate(docs, 1))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(df, 85, sample).collect()}
+    assert got == brute(rows, 85)
+    assert max(n for n, _ in got.values()) > 2900 and 6 < len({c for _, c in got.values()}) < len(rows)
