@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftscan import functions as X
-from driftscan.operators import counters, curation, ranges, rules, sampling, stats
+from driftscan.operators import counters, curation, inference, ranges, rules, sampling, stats
 from driftscan.plans.reports import _P, _T, _images, _points
 from driftscan.session import load, materialize, shared_dir
 from driftscan.sinks import arrays, exports, folders
@@ -450,3 +452,61 @@ def record_table(spark, d):
 def first_names(spark, d):
     members = load(spark, d, "part").select(F.col("p_brand").alias("tar_path"), F.col("p_partkey").alias("member_idx"), F.col("p_name").alias("name"))
     return curation.first_names(members).select("tar_path", F.array_join("names", ",").alias("names"))
+
+
+# --- pixels -----------------------------------------------------------------------------------------
+# Vectors of 64 numbers stand for grey images of 8 x 8.
+
+_PIXELS = "SELECT vec_id, label, list_transform(embedding, lambda x: least(255, floor(abs(CAST(x AS DOUBLE)) * 255))::INT) AS p FROM embeddings"
+
+
+def _pixels(spark: SparkSession, d: str) -> DataFrame:
+    byte = F.transform("embedding", lambda x: F.lpad(F.hex(F.least(F.lit(255), F.floor(F.abs(x.cast("double")) * 255)).cast("int")), 2, "0"))
+    rows = load(spark, d, "embeddings").select("vec_id", "label", F.unhex(F.array_join(byte, "")).alias("pixels"))
+    return rows.withColumns({"height": F.lit(8), "width": F.lit(8), "channels": F.lit(1), "ndim": F.lit(2), "dtype": F.lit("uint8")})
+
+
+@query(f"""WITH i AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS z, list_transform(p, lambda n: format('{{:02x}}', n)) AS h FROM ({_PIXELS})), t AS (SELECT *, unnest([0, 1]) AS ty FROM i), u AS (SELECT *, unnest([0, 1]) AS tx FROM t)
+SELECT z || '.' || ty || '.' || tx AS chunk, array_to_string(list_concat(h[ty * 32 + tx * 4 + 1 : ty * 32 + tx * 4 + 4], list_concat(h[ty * 32 + tx * 4 + 9 : ty * 32 + tx * 4 + 12], list_concat(h[ty * 32 + tx * 4 + 17 : ty * 32 + tx * 4 + 20], h[ty * 32 + tx * 4 + 25 : ty * 32 + tx * 4 + 28]))), '') AS bytes FROM u""")
+def array_store_chunks(spark, d):
+    """Chunk files of a store that has been written and published."""
+    root = _place(spark, "stores")
+    rows = stats.truncate_buckets(stats.assign_buckets(_pixels(spark, d), 8), 1 << 30, "vec_id")
+    arrays.write_stores(rows, root, tile=4, codec=arrays.Codec("none"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/bucket_8x8.zarr/0")
+    return files.select(X.basename("path").alias("chunk"), F.lower(F.hex("content")).alias("bytes")).filter("chunk not like '.%'")
+
+
+def _brightness():
+    """A model that tells how bright an image is; those whose first pixel is 1 of 255 fail with their whole batch."""
+
+    def model(x):
+        grey = x[:, 0] * 0.229 + 0.485
+        if (abs(grey[:, 0, 0] * 255 - 1) < 0.01).any():
+            raise ValueError("no such pixel")
+        m = grey.mean(axis=(1, 2))
+        return np.stack([m, 1 - m], 1)
+
+    return model
+
+
+@query(f"SELECT vec_id, CASE WHEN p[1] <> 1 THEN list_sum(p)::BIGINT ELSE -1 END AS brightness, p[1] = 1 AS quarantined FROM ({_PIXELS})")
+def batch_inference(spark, d):
+    """Results of a model in batches, some of whose images it cannot take."""
+    found = inference.classify(_pixels(spark, d), _brightness, 2, size=8, batch_size=32)
+    brightness = F.round(F.get("probs", F.lit(0)).cast("double") * 64 * 255).cast("bigint")
+    return found.select("vec_id", F.coalesce(brightness, F.lit(-1)).alias("brightness"), F.col("error").isNotNull().alias("quarantined"))
+
+
+@query("SELECT label, count(*) AS n, sum(list_sum(p))::BIGINT AS brightness, max(vec_id) AS last FROM (" + _PIXELS + ") GROUP BY 1")
+def bucket_hook(spark, d):
+    """What a processor makes of each group, batch by batch."""
+
+    def process(label, batches):
+        n = brightness = last = 0
+        for b in batches:
+            n, last = n + b.num_rows, max(last, *b.column("vec_id").to_pylist())
+            brightness += sum(sum(p) for p in b.column("pixels").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([n]), pa.array([brightness]), pa.array([last])], ["label", "n", "brightness", "last"])
+
+    return inference.process_buckets(_pixels(spark, d), process, "label int, n bigint, brightness bigint, last bigint", "label")
