@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 from driftscan import functions as X
 from driftscan.operators import counters, curation, inference, ranges, rules, sampling, stats
 from driftscan.plans.reports import _P, _T, _images, _points
-from driftscan.session import load, materialize, shared_dir
+from driftscan.session import load, materialize, scratch_path
 from driftscan.sinks import arrays, exports, folders
 from driftscan.sources import archives, predictions, tar
 
@@ -28,11 +26,6 @@ def query(sql: str):
     return register
 
 
-def _place(spark: SparkSession, name: str) -> str:
-    """A new folder for files that a query writes and reads."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # --- archives ------------------------------------------------------------------------
 # Documents stand for images: an archive of each of five days and some minutes, with texts as contents.
 
@@ -54,7 +47,7 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _exported(spark: SparkSession, d: str, bin_minutes: int = 10) -> str:
-    root = _place(spark, "export")
+    root = scratch_path(spark, "export")
     exports.export_archives(_records(spark, d), root, "cruise", bin_minutes, max_bubble_score=0.7, min_object_count=1)
     return root
 
@@ -77,7 +70,7 @@ def archive_index(spark, d):
 def archive_scan(spark, d):
     """All members' contents by the data source, archives split over tasks."""
     root = _exported(spark, d)
-    at = _place(spark, "splits")
+    at = scratch_path(spark, "splits")
     archives.splits(archives.member_index(tar.archives(spark, f"{root}/source")), 1 << 16).write.parquet(at)
     archives.register(spark)
     got = spark.read.format("tar").option("splits", at).load()
@@ -129,7 +122,7 @@ def export_results_merged(spark, d):
 @query(f"SELECT (doc_id % 5)::VARCHAR || '_' || lang AS folder, name, sha256(text) AS sha256 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id % 5, lang ORDER BY md5('42' || doc_id::VARCHAR), doc_id::VARCHAR) AS r, (CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END) || doc_id || '.tif' AS name FROM ({_RECORDS})) WHERE r <= 7")
 def class_sample_folders(spark, d):
     """Seven images of each class copied out of archives into folders of their own."""
-    source, out = _place(spark, "classes"), _place(spark, "samples")
+    source, out = scratch_path(spark, "classes"), scratch_path(spark, "samples")
     own = _records(spark, d).withColumn("filename", F.concat(F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd"), F.col("doc_id").cast("string"), F.lit(".tif")))
     exports.export_archives(own.drop("bubble_score", "object_count"), source, "run")
     mapping = exports.read_mapping(spark, source)
@@ -148,7 +141,7 @@ def class_sample_folders(spark, d):
 
 def _detail_files(spark: SparkSession, d: str) -> str:
     """Events as detail CSVs of three cruises: one with a column less, one with its columns in another order."""
-    root = _place(spark, "detail")
+    root = scratch_path(spark, "detail")
     e = load(spark, d, "events").select(F.concat(F.lit("i"), "event_id", F.lit(".tif")).alias("id"), F.date_format("ts", "yyyy-MM-dd").alias("date"), F.date_format("ts", "HH:mm").alias("time"), (F.col("event_id") % 3).alias("pred_id"), (F.col("event_id") % 101 / 101.0).alias("pred_conf"), F.when(F.col("event_id") % 11 == 0, "inf").otherwise(F.col("event_id").cast("string")).alias("density"), (F.col("event_id") % 7 / 7.0).alias("a,b_conf"), (F.col("event_id") % 5 / 5.0).alias("c_conf"), (F.col("user_id") % 3).alias("cruise"))
     all_columns = [c for c in e.columns if c != "cruise"]
     for k, columns in enumerate((all_columns, [c for c in all_columns if c != "c_conf"], all_columns[::-1])):
@@ -181,7 +174,7 @@ def file_vocabulary(spark, d):
 FROM embeddings, (SELECT unnest(['a', 'b']) AS model)""")
 def model_files(spark, d):
     """Prediction files of two models that know different classes."""
-    root = _place(spark, "models")
+    root = scratch_path(spark, "models")
     e = load(spark, d, "embeddings").select(F.concat(F.lit("/t/"), F.col("vec_id").cast("string")).alias("Path"), F.col("vec_id").cast("string").alias("Filename"), F.col("label").alias("Label"), F.lit("x").alias("Pred"), *(F.round(F.get("embedding", F.lit(k)).cast("double"), 6).alias(n) for k, n in enumerate(("even", "odd", "third"))))
     for name, dropped in (("a", "third"), ("b", "odd")):
         files = materialize(e.drop(dropped), "model")
@@ -223,7 +216,7 @@ def run_counters_by_group(spark, d):
 @query("SELECT 'read' AS stage, p_partkey, 'damaged ' || p_brand AS error FROM part WHERE p_partkey % 7 = 0")
 def error_side_table(spark, d):
     rows = load(spark, d, "part").select("p_partkey", "p_name", F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("damaged "), "p_brand")).alias("error"))
-    path = _place(spark, "errors")
+    path = scratch_path(spark, "errors")
     counters.separate_errors(rows, path, "read", "reading")
     return counters.error_table(spark, path).select("stage", F.get_json_object("row", "$.p_partkey").cast("bigint").alias("p_partkey"), "error")
 
@@ -470,7 +463,7 @@ def _pixels(spark: SparkSession, d: str) -> DataFrame:
 SELECT z || '.' || ty || '.' || tx AS chunk, array_to_string(list_concat(h[ty * 32 + tx * 4 + 1 : ty * 32 + tx * 4 + 4], list_concat(h[ty * 32 + tx * 4 + 9 : ty * 32 + tx * 4 + 12], list_concat(h[ty * 32 + tx * 4 + 17 : ty * 32 + tx * 4 + 20], h[ty * 32 + tx * 4 + 25 : ty * 32 + tx * 4 + 28]))), '') AS bytes FROM u""")
 def array_store_chunks(spark, d):
     """Chunk files of a store that has been written and published."""
-    root = _place(spark, "stores")
+    root = scratch_path(spark, "stores")
     rows = stats.truncate_buckets(stats.assign_buckets(_pixels(spark, d), 8), 1 << 30, "vec_id")
     arrays.write_stores(rows, root, tile=4, codec=arrays.Codec("none"))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/bucket_8x8.zarr/0")

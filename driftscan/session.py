@@ -119,6 +119,13 @@ def _drop_at_exit(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; what is put there goes when the application ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    atexit.register(_drop_at_exit, spark, path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and returns it re-read.
 
@@ -126,8 +133,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     what stands before it. The table goes when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    atexit.register(_drop_at_exit, spark, path)
+    path = scratch_path(spark, label)
     made = _made.get()
     if made is not None:
         made.append(path)

@@ -61,6 +61,7 @@ class Publication:
     def __init__(self, root: str, run: str):
         self.store, self.root, _ = file_system(root.rstrip("/"))
         self.staging, self.replaced = f"{self.root}/.staging-{run}", f"{self.root}/.replaced-{run}"
+        self._folders: set[str] = set()
 
     def exists(self, path: str) -> bool:
         return self.store.get_file_info(path).type != fs.FileType.NotFound
@@ -68,7 +69,10 @@ class Publication:
     def write(self, name: str, data: bytes, attempt: str) -> None:
         """A small file in the staging folder, whole or not at all; attempts that write the same one do not meet."""
         path = f"{self.staging}/{name}"
-        self.store.create_dir(path.rpartition("/")[0], recursive=True)
+        folder = path.rpartition("/")[0]
+        if folder not in self._folders:
+            self.store.create_dir(folder, recursive=True)
+            self._folders.add(folder)
         with self.store.open_output_stream(f"{path}.{attempt}", compression=None) as f:
             f.write(data)
         self.store.move(f"{path}.{attempt}", path)
