@@ -43,7 +43,7 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
     two = lambda c: F.lpad(c.cast("string"), 2, "0")
     path = F.concat(F.lit("/survey/2024_01_0"), (F.col("doc_id") % 5 + 1).cast("string"), F.lit("/run_"), two(F.col("doc_id") % 3 + 9), two(F.col("doc_id") % 37), F.lit(".tar"))
     name = F.concat(F.when(F.col("doc_id") % 2 == 0, "RawImages/").otherwise("RawImages\\"), base)
-    return e.select("doc_id", "lang", path.alias("tar_path"), name.alias("filename"), F.coalesce("text", F.lit("")).cast("binary").alias("content"), (F.col("doc_id") % 10 / 10.0).alias("bubble_score"), (F.col("doc_id") % 4).cast("int").alias("object_count"))
+    return e.select("doc_id", F.col("doc_id").alias("member_idx"), "lang", path.alias("tar_path"), name.alias("filename"), F.coalesce("text", F.lit("")).cast("binary").alias("content"), (F.col("doc_id") % 10 / 10.0).alias("bubble_score"), (F.col("doc_id") % 4).cast("int").alias("object_count"))
 
 
 def _exported(spark: SparkSession, d: str, bin_minutes: int = 10) -> str:

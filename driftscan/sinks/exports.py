@@ -152,7 +152,8 @@ def export_archives(records: DataFrame, root: str, cruise: str, bin_minutes: int
     root gets source/{date}/{cruise}_{bin}.tar, and metadata: export_manifest.json,
     origin_mapping.csv, and the filter's results of all records by bucket. Members
     bear their base names; the second and further ones of a bin stand in numbered
-    folders. Null contents are empty files, null names `unnamed`. Archives of
+    folders, in the order of tar_path, filename and, where records have it,
+    member_idx. Null contents are empty files, null names `unnamed`. Archives of
     other bins that are there stay; the manifest and the mapping tell of this
     export alone. Without any exportable record the manifest is empty.
     """
@@ -167,7 +168,8 @@ def export_archives(records: DataFrame, root: str, cruise: str, bin_minutes: int
     located = "content" not in rows.columns
     if located and not rows.filter("data_offset is null").isEmpty():  # of compressed archives each is read once, in its order
         rows, located = archives.fetch(rows).filter("error is null"), False
-    rows = rows.withColumn("__base", base).repartition(*group).sortWithinPartitions(*group, "__base", "tar_path", "filename")
+    order = [*group, "__base", "tar_path", "filename", *(["member_idx"] if "member_idx" in rows.columns else [])]
+    rows = rows.withColumn("__base", base).repartition(*group).sortWithinPartitions(*order)
     if located:
         rows = archives.fetch_in_place(rows).filter("error is null")
     rows.select(*group, "tar_path", "filename", "content").write.format("tar_export").mode("append").option("run", run).save(root)

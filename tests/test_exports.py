@@ -145,6 +145,13 @@ def test_export_of_located_members_reads_them_where_they_are_written(spark, tmp_
     assert held == want
 
 
+def test_members_of_one_archive_and_name_stand_in_its_order(spark, tmp_path):
+    rows = [("/s/2024-01-01/run_1450.tar", "RawImages/a.tif", k, bytearray(b"%d" % k)) for k in reversed(range(40))]
+    exports.export_archives(spark.createDataFrame(rows, "tar_path string, filename string, member_idx bigint, content binary"), str(tmp_path), "c")
+    with tarfile.open(tmp_path / "source/2024-01-01/c_1450.tar") as t:
+        assert [t.extractfile(m).read() for m in t] == [b"%d" % k for k in range(40)]
+
+
 def test_export_again_replaces_and_validates(spark, tmp_path):
     rows = spark.createDataFrame([(*r[:2], bytearray(r[2] or b"")) for r in RECORDS], "tar_path string, filename string, content binary")
     exports.export_archives(rows, f"file://{tmp_path}", "c", bin_minutes=7)
