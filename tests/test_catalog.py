@@ -30,6 +30,16 @@ def test_query_matches_sql(spark, con, sf, name):
     assert plain(got) == plain(want)
 
 
+@pytest.mark.parametrize("name", ["archive_scan", "archive_sample"])
+def test_documents_of_one_archive_and_name(spark, tmp_path, name):
+    """Numbers that are alike in all from which archives and names are made, the last first."""
+    at = [(1 + k + 44_400 * again, f"text {k} {again}", "en") for again in (2, 1, 0) for k in range(30)]
+    spark.createDataFrame(at, "doc_id bigint, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert plain(catalog.QUERIES[name](spark, str(tmp_path)).toPandas()) == plain(c.execute(catalog.ORACLES[name]).fetchdf())
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
