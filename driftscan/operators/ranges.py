@@ -38,6 +38,17 @@ def positions(rows: DataFrame, *order: Column, name: str = "position") -> DataFr
     return numbered.withColumn(name, F.col(name) + F.col("__before")).select(*rows.columns, name)
 
 
+def places(rows: DataFrame, key: str, *order: Column, name: str = "place") -> DataFrame:
+    """rows with their place within their key in the order, from 1; a null key is one of its own. One key may fill many ranges."""
+    dealt = ranged(rows, F.col(key), *order)
+    by_range = Window.partitionBy(key).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(RANGE, key).count()  # at most a row for each key of a range
+    starts = sizes.select(F.col(RANGE).alias("__r"), F.col(key).alias("__k"), F.coalesce(F.sum("count").over(by_range), F.lit(0)).alias("__before")).filter("__before > 0")
+    within = F.row_number().over(Window.partitionBy(RANGE, key).orderBy(*order))
+    numbered = dealt.withColumn(name, within.cast("bigint")).join(F.broadcast(starts), (F.col(RANGE) == F.col("__r")) & F.col(key).eqNullSafe(F.col("__k")), "left")
+    return numbered.withColumn(name, F.col(name) + F.coalesce("__before", F.lit(0))).select(*rows.columns, name)
+
+
 def _steps(points: DataFrame, key: str, ts: str, order: str, last: Column, flag: Column | None = None) -> DataFrame:
     """points in ranges of (key, ts, order) with __last, what `last` was at the row before of the same key, in whatever range that was.
 

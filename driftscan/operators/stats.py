@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from driftscan import functions as X
-from driftscan.operators.ranges import segment_lines, track_length, track_segments  # noqa: F401  of this module by name
+from driftscan.operators.ranges import places, segment_lines, track_length, track_segments  # noqa: F401  of this module by name
+
+#: Up to so many images of a bucket are numbered in one task, after each task has dropped what lies beyond.
+LARGEST_WINDOW = 10_000
 
 
 def class_statistics(images: DataFrame, label: str = "pred_label", density: str = "density", conf: str = "pred_conf") -> DataFrame:
@@ -113,9 +116,16 @@ def keep_large_buckets(images: DataFrame, least: int) -> DataFrame:
 
 
 def truncate_buckets(images: DataFrame, most: int, *order: str) -> DataFrame:
-    """The first `most` images of each bucket in arrival order, numbered from 0; tasks drop what lies beyond before the shuffle."""
-    placed = images.withColumn("z", F.row_number().over(Window.partitionBy("bucket").orderBy(*order)))
-    return placed.filter(F.col("z") <= most).withColumn("z", F.col("z") - 1)
+    """The first `most` images of each bucket in arrival order, numbered from 0.
+
+    Where most is small, tasks drop what lies beyond before the shuffle; else
+    images are numbered by ranges, as one bucket may hold nearly all of them.
+    """
+    if most <= LARGEST_WINDOW:
+        placed = images.withColumn("z", F.row_number().over(Window.partitionBy("bucket").orderBy(*order)))
+    else:
+        placed = places(images, "bucket", *map(F.col, order), name="z")
+    return placed.filter(F.col("z") <= most).withColumn("z", (F.col("z") - 1).cast("int"))
 
 
 def promote(images: DataFrame) -> DataFrame:

@@ -466,8 +466,7 @@ def array_store_chunks(spark, d):
     root = scratch_path(spark, "stores")
     rows = stats.truncate_buckets(stats.assign_buckets(_pixels(spark, d), 8), 1 << 30, "vec_id")
     arrays.write_stores(rows, root, tile=4, codec=arrays.Codec("none"))
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/bucket_8x8.zarr/0")
-    return files.select(X.basename("path").alias("chunk"), F.lower(F.hex("content")).alias("bytes")).filter("chunk not like '.%'")
+    return arrays.read_chunks(spark, f"{root}/bucket_8x8.zarr/0").select("chunk", F.lower(F.hex("data")).alias("bytes"))
 
 
 def _brightness():

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -29,9 +29,16 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from driftscan import functions as X
 from driftscan.operators import stats
 from driftscan.session import materialize, scratch_tables, ship
-from driftscan.stores import Publication, file_system, files_below, local
+from driftscan.sources.archives import batches
+from driftscan.stores import Publication, file_system, files_below, local, open_file
 
 TILES = "bucket string, level int, z bigint, ty int, tx int, chunk string, data binary"
+CHUNKS = "chunk string, data binary"
+
+
+def _tasks(spark: SparkSession) -> int:
+    """How many tasks small files are dealt over: they cost by their number, which adaptive execution does not see in their bytes."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @dataclass(frozen=True)
@@ -69,23 +76,29 @@ def tile_table(images: DataFrame, tile: int = 300, levels: int = 1, factor: int
     """TILES of bucketed images (bucket_h, bucket_w, bucket, z, height, width, channels, ndim, dtype, pixels); chunk is a tile's name in its array.
 
     Images of a bucket are brought to its widest dtype and its most channels,
-    padded with zeros, and averaged down for further levels.
+    padded with zeros, and averaged down for further levels. They are dealt over
+    tasks by bucket and z, so that a bucket's images are made by many.
     """
     common = stats.promote(images).select("bucket", F.col("dtype").alias("to_dtype"), F.col("channels").alias("to_channels"))
-    rows = images.join(common, "bucket").select("bucket", "z", "bucket_h", "bucket_w", "height", "width", "channels", "ndim", "dtype", "to_dtype", "to_channels", "pixels")
+    rows = images.join(F.broadcast(common), "bucket").select("bucket", "z", "bucket_h", "bucket_w", "height", "width", "channels", "ndim", "dtype", "to_dtype", "to_channels", "pixels")
+    schema = T.StructType.fromDDL(TILES)
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
+    def made(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         from driftscan.imaging import arrays
 
-        for b in batches:
+        for b in parts:
             for r in (dict(zip(b.schema.names, (c[k].as_py() for c in b.columns), strict=True)) for k in range(b.num_rows)):
                 a = np.frombuffer(r["pixels"], r["dtype"]).reshape((r["height"], r["width"], r["channels"]) if r["ndim"] > 2 else (r["height"], r["width"]))
                 a = arrays.pad_to(arrays.harmonise(a, r["to_channels"]).astype(r["to_dtype"]), r["bucket_h"], r["bucket_w"], on_oversize)
                 last = ".0" if a.ndim > 2 else ""  # a colour image has one chunk of channels
-                out = [(r["bucket"], lv, r["z"], ty, tx, f"{r['z']}.{ty}.{tx}{last}", t.tobytes()) for lv, p in enumerate(arrays.pyramid(a, levels, factor)) for ty, tx, t in arrays.tiles(p, min(tile, *p.shape[:2]))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary()), strict=True)], ["bucket", "level", "z", "ty", "tx", "chunk", "data"])
+                for lv, p in enumerate(arrays.pyramid(a, levels, factor)):
+                    for ty, tx, t in arrays.tiles(p, min(tile, *p.shape[:2])):
+                        yield r["bucket"], lv, r["z"], ty, tx, f"{r['z']}.{ty}.{tx}{last}", t.tobytes()
 
-    return rows.mapInArrow(run, TILES)
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches(made(parts), schema, 6, most_bytes=4_000_000)
+
+    return rows.repartition(_tasks(images.sparkSession), "bucket", "z").mapInArrow(run, TILES)
 
 
 def manifest(images: DataFrame, tile: int = 300, levels: int = 1, factor: int = 2, codec: Codec = Codec()) -> DataFrame:
@@ -195,6 +208,32 @@ def write_stores(images: DataFrame, root: str, tile: int = 300, levels: int = 1,
     return plan.withColumn("store_path", F.concat(F.lit(f"{local(root.rstrip('/'))}/bucket_"), "bucket", F.lit(".zarr")))
 
 
+def read_chunks(spark: SparkSession, array: str) -> DataFrame:
+    """Name and bytes, as they are stored, of every chunk of an array of a published store.
+
+    The array's own metadata tell which chunks there are, so that no folder with a
+    file for each is listed; a chunk that is not there is an error. Tasks open
+    them where they lie.
+    """
+    ship(spark)
+    with open_file(f"{array.rstrip('/')}/.zarray") as f:
+        told = json.loads(f.read())
+    grid, schema = tuple(-(-n // c) for n, c in zip(told["shape"], told["chunks"], strict=True)), T.StructType.fromDDL(CHUNKS)
+
+    def read(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        store, inner, _ = file_system(array.rstrip("/"))
+        for b in parts:
+            for at in zip(*(x.tolist() for x in np.unravel_index(b.column(0).to_numpy(), grid)), strict=True):
+                name = ".".join(map(str, at))
+                with store.open_input_file(f"{inner}/{name}") as f:
+                    yield name, f.read()
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches(read(parts), schema, 1, most_bytes=4_000_000)
+
+    return spark.range(0, math.prod(grid), 1, _tasks(spark)).mapInArrow(run, CHUNKS)
+
+
 def multiscale_metadata(levels: int, factor: int, pixel_size: float, shape) -> dict:
     """Axes and transforms of the levels: scale s*f^l, translation (f^l-1)*s/2."""
     colour = [{"name": "c", "type": "channel"}] if len(shape) > 3 else []

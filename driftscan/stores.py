@@ -67,15 +67,20 @@ class Publication:
         return self.store.get_file_info(path).type != fs.FileType.NotFound
 
     def write(self, name: str, data: bytes, attempt: str) -> None:
-        """A small file in the staging folder, whole or not at all; attempts that write the same one do not meet."""
-        path = f"{self.staging}/{name}"
-        folder = path.rpartition("/")[0]
-        if folder not in self._folders:
-            self.store.create_dir(folder, recursive=True)
-            self._folders.add(folder)
-        with self.store.open_output_stream(f"{path}.{attempt}", compression=None) as f:
+        """A small file in the staging folder, whole or not at all; attempts that write the same one do not meet.
+
+        It is made in a folder of the attempt's own: tasks that all make files in
+        one folder wait for each other, and what a lost one leaves must not be published.
+        """
+        path, own = f"{self.staging}/{name}", f"{self.staging}/.{attempt}"
+        for folder in (path.rpartition("/")[0], own):
+            if folder not in self._folders:
+                self.store.create_dir(folder, recursive=True)
+                self._folders.add(folder)
+        made = f"{own}/{name.replace('/', '%')}"
+        with self.store.open_output_stream(made, compression=None) as f:
             f.write(data)
-        self.store.move(f"{path}.{attempt}", path)
+        self.store.move(made, path)
 
     def publish(self, names: dict[str, str]) -> None:
         """Each staged path (of keys) becomes its name (of values) in root."""

@@ -85,6 +85,19 @@ def test_missing_chunks_and_lost_swaps_are_not_published(spark, tmp_path, monkey
     assert [p.name for p in tmp_path.rglob("*") if p.is_file()] == [".zarray"] and not list(tmp_path.glob(".*"))
 
 
+def test_one_bucket_is_written_and_read_by_many_tasks(spark, tmp_path):
+    rows = spark.range(40).select(F.lit("8x8").alias("bucket"), F.col("id").alias("z"), *(F.lit(8).alias(c) for c in ("bucket_h", "bucket_w", "height", "width")), F.lit(1).alias("channels"), F.lit(2).alias("ndim"), F.lit("uint8").alias("dtype"), F.unhex(F.repeat(F.lpad(F.hex("id"), 2, "0"), 64)).alias("pixels")).coalesce(1)
+    dealt = arrays.tile_table(rows, 4).groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == 4 and max(r["count"] for r in dealt) < 120
+    arrays.write_stores(rows, str(tmp_path), tile=4, codec=arrays.Codec("none"))
+    got = arrays.read_chunks(spark, f"file://{tmp_path}/bucket_8x8.zarr/0")
+    assert {r["chunk"]: bytes(r["data"]) for r in got.collect()} == {f"{z}.{y}.{x}": bytes([z]) * 16 for z in range(40) for y in (0, 1) for x in (0, 1)}
+    assert got.filter("chunk is not null").count() == 160
+    (tmp_path / "bucket_8x8.zarr/0/7.1.0").unlink()
+    with pytest.raises(Exception, match="7.1.0"):
+        got.collect()
+
+
 def test_no_images_make_no_stores(spark, tmp_path):
     assert arrays.write_stores(images(spark).limit(0), str(tmp_path)).count() == 0
     assert list(tmp_path.iterdir()) == []

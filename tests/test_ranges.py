@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from driftscan.operators import ranges
+from driftscan.operators import ranges, stats
 
 
 @pytest.fixture(scope="module")
@@ -108,3 +108,17 @@ def test_empty_tables_and_clashing_names(spark):
     assert (r["gap_min"], r["segment_id"]) == (0.0, 0)
     assert ranges.track_segments(df.drop("gap_min").limit(0), "key", "ts", "id").count() == 0
     assert ranges.track_length(df.limit(0), "key", "ts", "id").count() == 0
+
+
+def test_places_within_keys_over_many_ranges(points, many_ranges):
+    df, rows = points
+    got = {(r["key"], r["id"]): r["place"] for r in ranges.places(df, "key", F.col("id")).collect()}
+    want = {(k, r[1]): n for k, part in ordered(rows).items() for n, r in enumerate(sorted(part, key=lambda r: r[1]), 1)}
+    assert got == want
+
+
+def test_a_large_bucket_is_numbered_by_ranges(spark, many_ranges):
+    rows = spark.range(3000).select(F.lit("300x300").alias("bucket"), "id")
+    got = stats.truncate_buckets(rows, 1 << 30, "id")
+    assert {r["id"]: r["z"] for r in got.collect()} == {k: k for k in range(3000)}
+    assert got.schema["z"].dataType.simpleString() == "int" and got.groupBy(F.spark_partition_id()).count().count() > 8
