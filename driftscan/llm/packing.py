@@ -10,13 +10,16 @@ of `merge_partitions` partitions at a time: bounded work for any input size.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,98 +30,149 @@ PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_toke
 _TYPES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("leftover", pa.int64())])
 
 
-#: Marks that the vocabulary's pre-tokenizer cuts off after a letter; the apostrophe is not one of them.
-_TAIL = np.isin(np.arange(256), list(b".,;:!?%&$#*|"))
-#: What a word takes in the table beside its letters: the entry, its number and where its ids are.
-WORD_BYTES = 200
+#: Kinds of bytes: letters, digits and marks are cut as the vocabulary's pre-tokenizer does; a word with any other byte stays whole.
+_SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
+_WORDS = np.full(256, _OTHER, np.uint8)
+_WORDS[list(b" \t\n\r\x0b\x0c")] = _SPACE
+_KINDS = _WORDS.copy()
+_KINDS[33:127] = _MARK
+_KINDS[list(b"abcdefghijklmnopqrstuvwxyz\xc3")] = _LETTER
+_KINDS[list(b"0123456789")] = _DIGIT
+_KINDS[list(b"'<")] = _OTHER  # short forms, and what special tokens begin with
+#: How the vocabulary for which _KINDS are made normalises and cuts; texts for any other are cut at white space alone.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_CUTTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, … of each span, size of them, one span after another."""
+    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+
+
+def cut(x: np.ndarray, kinds: np.ndarray = _KINDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the pieces of a lower-cased text's bytes begin, their length, and which are words that stay whole.
+
+    Pieces are runs of letters (of Latin-1), single digits and runs of marks.
+    """
+    kind = kinds[x]
+    after = np.flatnonzero(x[:-1] == 0xC3) + 1
+    second = x[after]
+    kind[after[(kind[after] == _OTHER) & (second < 0xC0) & (second != 0x97) & (second != 0xB7) & (kinds[0xC3] == _LETTER)]] = _LETTER  # but the signs of times and division
+    if (kind == _OTHER).any():
+        edge = np.diff(kind != _SPACE, prepend=False, append=False).nonzero()[0]
+        begin, stop = edge[::2], edge[1::2]
+        odd = np.logical_or.reduceat(kind == _OTHER, begin)
+        kind[_spread(begin[odd], (stop - begin)[odd])] = _OTHER
+    begin = np.flatnonzero(np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)])[: len(x)])
+    size, first = np.diff(begin, append=len(x)), kind[begin]
+    return begin[first != _SPACE], size[first != _SPACE], first[first != _SPACE] == _OTHER
 
 
 class WordIds:
-    """Ids of a white-space-free word, computed once while it stays in a table of about cap_bytes.
+    """Ids of a text's pieces, each computed once while it stays in a table of about cap_bytes.
 
     The vocabulary lower-cases and its pre-tokenizer never joins text over white
-    space, so a text's ids are those of its words in order. Words are numbered as
-    they come; the ids of word k are the size[k] ones of flat from begin[k] on.
+    space, so a text's ids are those of its pieces in order. Pieces are numbered as
+    they come: number k is known[k], and its ids are the size[k] ones of flat from
+    begin[k] on. hashes are sorted and number says whose each is; a piece counts as
+    known if the bytes are the same, so that equal hashes only cost encoding again.
     """
 
     def __init__(self, path: str, cap_bytes: int = 48_000_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.cap_bytes = Tokenizer.from_file(path), cap_bytes
+        told = json.loads(Path(path).read_text())
+        self.kinds = _KINDS if (told["normalizer"], told["pre_tokenizer"]) == (_NORMALIZER, _CUTTER) else _WORDS
+        # what is cut already needs neither composition nor the pattern
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Lowercase()
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.closing = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.closing[[k for x, k in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
-        self.table, self.held, self.n_flat = {}, 0, 0
-        self.flat, self.begin, self.size = np.zeros(1 << 16, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known, self.hashes, self.number = pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    @property
+    def held(self) -> int:
+        return sum(x.nbytes for x in (self.known, self.hashes, self.number, self.flat, self.begin, self.size))
 
-    def _together(self, words: list[bytes], closings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number a word, of words known to end with their first or second closing id."""
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, np.uint32)
+    def _together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number a piece, of pieces that each end with their one closing id."""
+        ids = np.array(self.plain.encode_batch_fast([b" ".join(pieces).decode()], add_special_tokens=False)[0].ids, np.uint32)
         close = np.flatnonzero(self.closing[ids])
-        if len(close) != closings.sum() or close[-1] != len(ids) - 1:
-            return self._each(words)
-        return ids, np.diff(close[np.cumsum(closings) - 1], prepend=-1)
+        if len(close) != len(pieces) or close[-1] != len(ids) - 1:
+            return self._each(pieces)
+        return ids, np.diff(close, prepend=-1)
 
     def _each(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ids = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
-    def learn(self, words: list[bytes]) -> None:
-        """Adds words that are not in the table."""
-        plain, closings = _plain(words)
-        begin, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-        parts, at = [], self.n_flat
+    def learn(self, pieces: list[bytes], whole: np.ndarray) -> None:
+        """Appends ids of pieces; whole are words that the tokenizer has to cut."""
+        begin, size = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int32)
+        parts, at = [self.flat], len(self.flat)
         for how in (True, False):
-            which = np.flatnonzero(plain == how)
+            which = np.flatnonzero(whole != how)
             for first in range(0, len(which), 4096):
                 k = which[first : first + 4096]
-                some = [words[i] for i in k.tolist()]
-                ids, sizes = self._together(some, closings[k]) if how else self._each(some)
+                ids, sizes = (self._together if how else self._each)([pieces[i] for i in k.tolist()])
                 size[k], begin[k] = sizes, at + np.cumsum(sizes) - sizes
                 parts.append(ids)
                 at += len(ids)
-        while at > self.flat.size:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.n_flat : at] = np.concatenate(parts)
-        self.n_flat, self.begin, self.size = at, np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
-        self.table.update(zip(words, range(len(self.table), len(self.table) + len(words)), strict=True))
-        self.held += sum(map(len, words)) + WORD_BYTES * len(words)
-
-    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words in order, and where each word's end. A full table is emptied first."""
+        self.flat, self.begin, self.size = np.concatenate(parts), np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
+
+    def numbers(self, pieces: pa.Array, whole: np.ndarray) -> np.ndarray:
+        """The numbers of distinct pieces; those that are not in the table are added."""
+        values = pieces.to_pylist()
+        hashes, number = np.fromiter(map(hash, values), np.int64, len(values)), np.full(len(values), -1, np.int64)
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            same = np.flatnonzero(self.hashes[at] == hashes)
+            found = self.number[at[same]]
+            same_bytes = pc.equal(self.known.take(pa.array(found)), pieces.take(pa.array(same))).to_numpy(zero_copy_only=False)
+            number[same[same_bytes]] = found[same_bytes]
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = len(self.known) + np.arange(len(new))
+            self.learn([values[i] for i in new.tolist()], whole[new])
+            self.known = pa.concat_arrays([self.known, pieces.take(pa.array(new))])
+            new = new[np.argsort(hashes[new])]
+            at = np.searchsorted(self.hashes, hashes[new])
+            self.hashes, self.number = np.insert(self.hashes, at, hashes[new]), np.insert(self.number, at, number[new].astype(np.int32))
+        return number
+
+    def ids(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A text's ids in order, where its pieces begin, and how many ids come before each and after all. A full table is emptied first."""
         if self.held > self.cap_bytes:
             self.reset()
-        new = set(words).difference(self.table)
-        if new:
-            self.learn(list(new))
-        k = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
-        begin, size = self.begin[k], self.size[k]
-        stop = np.cumsum(size)
-        return self.flat[np.arange(size.sum()) + np.repeat(begin - stop + size, size)], stop
+        x = np.frombuffer(text.lower(), np.uint8)
+        begin, size, whole = cut(x, self.kinds)
+        stop = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(stop), pa.py_buffer(x[_WORDS[x] != _SPACE])]).dictionary_encode()
+        codes = found.indices.to_numpy()
+        odd = np.zeros(len(found.dictionary), bool)
+        odd[codes] = whole
+        k = self.numbers(found.dictionary, odd)[codes]
+        return self.flat[_spread(self.begin[k], self.size[k])], begin, np.concatenate([[0], np.cumsum(self.size[k])])
 
     def encode(self, text: bytes, block_bytes: int = 1_000_000) -> np.ndarray:
         """All ids of a whole text, block by block."""
-        parts = [self.ids(b.lower().split())[0] for b in blocks(text, block_bytes)]
+        parts = [self.ids(b)[0] for b in blocks(text, block_bytes)]
         return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
-def _plain(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Which words are letters of Latin-1 with one mark after them at most, and how many closing ids such a word has."""
-    x = np.frombuffer(b" ".join(words) + b" ", np.uint8)
-    stop = np.flatnonzero(x == 32)
-    start, last = np.concatenate([[0], stop[:-1] + 1]), stop - 1
-    lead = x == 0xC3
-    after = np.concatenate([[False], lead[:-1]]) & (x != 0x97) & (x != 0xB7)  # but the signs of times and division
-    other = ~((x >= 97) & (x <= 122) | lead | after)
-    other[stop] = False
-    tail = _TAIL[x[last]] & (last > start)
-    other[last[tail]] = False
-    return ~np.logical_or.reduceat(other, start), 1 + tail
-
-
 @lru_cache(maxsize=1)
 def word_ids(path: str, cap_bytes: int) -> WordIds:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
@@ -127,22 +181,22 @@ def word_ids(path: str, cap_bytes: int) -> WordIds:
 
 def encoded(words: WordIds, rows: Iterable[tuple[int | None, bytes]], block_bytes: int = 1_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
     """Document and ids of each row: short texts are looked up together, a long one in blocks."""
-    docs, parts, held = [], [], 0
+    docs, texts, held = [], [], 0
 
     def flush() -> Iterator[tuple[int | None, np.ndarray]]:
-        ids, stops = words.ids(list(chain.from_iterable(parts)))
-        ends = np.concatenate([[0], stops])[np.cumsum([0, *map(len, parts)])].tolist()
+        ids, begin, before = words.ids(b" ".join(texts))
+        ends = before[np.searchsorted(begin, np.cumsum([0, *(len(t) + 1 for t in texts)]))].tolist()
         return ((doc, ids[a:b]) for doc, a, b in zip(docs, ends, ends[1:], strict=False))
 
     for doc, text in rows:
         if held and held + len(text) > block_bytes:
             yield from flush()
-            docs, parts, held = [], [], 0
+            docs, texts, held = [], [], 0
         if len(text) > block_bytes:
             yield doc, words.encode(text, block_bytes)
         else:
             docs.append(doc)
-            parts.append(text.lower().split())
+            texts.append(text)
             held += len(text) + 1
     if docs:
         yield from flush()

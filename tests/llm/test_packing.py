@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -58,3 +60,40 @@ def test_long_text_is_taken_in_blocks(spark):
     want = [*t.encode(text, add_special_tokens=False).ids, 1]
     rows = packing.pack(spark.createDataFrame([(1, text), (2, "short")], "doc_id bigint, text string"), PATH).filter("doc_id = 1").orderBy("start").collect()
     assert [i for r in rows for i in np.frombuffer(r["ids"], "<u4").tolist()] == want
+
+
+def test_pieces_of_random_mixtures():
+    r = random.Random(5)
+    parts = ["a", "Z", "don't", "'", "<", "|", ">", "<|endoftext|>", "é", "É", "×", "÷", "ß", "ÿ", "Ā", "ÃÃ", "0", "42", "²", ".", ",!", "_", "-", "\x00", "\x1c", "\x7f", "\x85", "\xa0", "\u0301", "Σ", "İ", "中", "🙂", " ", " ", "\n", "\t\x0b", "\u2003"]
+    texts = ["".join(r.choices(parts, k=r.randrange(30))) for _ in range(3000)]
+    w, t = packing.WordIds(PATH, cap_bytes=100_000), Tokenizer.from_file(PATH)
+    for (k, ids), text in zip(packing.encoded(w, ((k, x.encode()) for k, x in enumerate(texts)), block_bytes=5_000), texts, strict=True):
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids, (k, text)
+
+
+def test_table_keeps_many_words():
+    """Each piece is encoded once, with or without a mark after it, while a table of 4 MB has room for 40,000."""
+    w, n = packing.WordIds(PATH, cap_bytes=4_000_000), []
+    learn = w.learn
+    w.learn = lambda words, *more: (n.append(len(words)), learn(words, *more))
+    words = ["".join("abcdefghij"[int(c)] for c in str(k)) for k in range(40_000)]
+    for mark in (" ", ", ", ". "):
+        w.encode(mark.join(words).encode(), block_bytes=50_000)
+    assert sum(n) == 40_000 + 2
+
+
+def test_text_for_another_vocabulary_is_cut_at_white_space():
+    w = packing.WordIds(PATH)
+    assert w.kinds is packing._KINDS
+    x = np.frombuffer(b"so, 12 it's", np.uint8)
+    assert [x[b : b + n].tobytes() for b, n in zip(*packing.cut(x)[:2], strict=True)] == [b"so", b",", b"1", b"2", b"it's"]
+    assert [x[b : b + n].tobytes() for b, n in zip(*packing.cut(x, packing._WORDS)[:2], strict=True)] == [b"so,", b"12", b"it's"]
+    w.kinds = packing._WORDS
+    assert w.encode(b"so, 12 it's").tolist() == w.tokenizer.encode("so, 12 it's", add_special_tokens=False).ids
+
+
+def test_pieces_of_one_hash_keep_their_own_ids(monkeypatch):
+    monkeypatch.setattr(packing, "hash", len, raising=False)
+    w, t = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    for text in ("one two three four", "two one seven, three", "four five six seven"):
+        assert w.encode(text.encode()).tolist() == t.encode(text, add_special_tokens=False).ids
