@@ -181,6 +181,21 @@ def splits(index: DataFrame, split_bytes: int = 128 << 20) -> DataFrame:
     return grouped.select("tar_path", "start", "stop", F.when(F.col("start").isNull(), 0).otherwise(F.col("first")).alias("first"), "n_members")
 
 
+def together(pieces: list[tuple], n_tasks: int, most_bytes: int = 128 << 20) -> list[list[tuple]]:
+    """Pieces (tar_path, start, stop, first) in lists of about a task's share of the bytes, in order; archives in one piece stand alone."""
+    placed = sorted(x for x in pieces if x[1] is not None)
+    share = min(most_bytes, sum(stop - start for _, start, stop, _ in placed) // max(1, n_tasks))
+    lists, held = [], 0
+    for x in placed:
+        size = x[2] - x[1]
+        if not lists or held + size > share:
+            lists.append([])
+            held = 0
+        lists[-1].append(x)
+        held += size
+    return lists + [[x] for x in pieces if x[1] is None]
+
+
 def split_members(pieces: DataFrame, with_content: bool = True, n_tasks: int | None = None, wanted: Callable[[str], bool] = lambda name: True) -> DataFrame:
     """MEMBERS rows of all pieces, dealt over tasks by place, so that one archive's pieces go to many; of files with other than wanted names nothing is read."""
     ship(pieces.sparkSession)
@@ -300,6 +315,8 @@ class ArchiveSource(DataSource):
     The schema asked for decides what is read: without `content` no member's
     bytes are. Option splits names a written table of `splits`, from which large
     archives are read by many tasks; without it every archive below path is one task.
+    Small pieces are read together, one after another, so that they make about `tasks`
+    (option, 256) tasks and not one each; no task is given more than 128 MB by this.
     """
 
     @classmethod
@@ -322,16 +339,16 @@ class ArchiveReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         if "splits" not in self.options:
-            return [InputPartition((p, None, None, 0)) for p in files_below(self.options["path"], lambda name: ".tar" in name)]
+            return [InputPartition([(p, None, None, 0)]) for p in files_below(self.options["path"], lambda name: ".tar" in name)]
         import pyarrow.dataset as ds
 
         table = self.options["splits"]
         files = [file_system(p)[1] for p in files_below(table, lambda name: name.endswith(".parquet"))]
         at = ds.dataset(files, filesystem=file_system(table)[0]).to_table(columns=["tar_path", "start", "stop", "first"]).to_pylist() if files else []
-        return [InputPartition(tuple(r.values())) for r in at]
+        return [InputPartition(pieces) for pieces in together([tuple(r.values()) for r in at], int(self.options.get("tasks", 256)))]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        yield from batches(read_split(*partition.value, "content" in self.names), MEMBERS, 4, self.names)
+        yield from batches((r for piece in partition.value for r in read_split(*piece, "content" in self.names)), MEMBERS, 4, self.names)
 
 
 def register(spark: SparkSession) -> None:

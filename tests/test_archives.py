@@ -201,3 +201,24 @@ def test_class_samples_are_fetched_from_archives(spark, index, folder):
     drawn = sampling.per_class(preds, "pred_id", "id", 5)
     got = archives.fetch(archives.locate(drawn, index)).collect()
     assert len(got) == 15 and all(bytes(r["content"]) == plain["RawImages/" + r["id"].rpartition("/")[2]] for r in got)
+
+
+def test_small_pieces_are_read_together():
+    pieces = [(f"/a/{k % 7}.tar", k // 7 * 1000, k // 7 * 1000 + 1000, k // 7) for k in range(7000)] + [("/a/z.tar.gz", None, None, 0)]
+    lists = archives.together(pieces, 50)
+    assert 50 <= len(lists) <= 102
+    assert sorted(x for part in lists for x in part[:] if x[1] is not None) == sorted(pieces[:-1]) and lists[-1] == pieces[-1:]
+    assert all(part == sorted(part) for part in lists)
+    assert len(archives.together(pieces, 50, most_bytes=2000)) == 3501
+    assert archives.together([], 50) == []
+
+
+def test_members_of_many_small_pieces(spark, index, tmp_path):
+    archives.register(spark)
+    at = f"{tmp_path}/splits"
+    archives.splits(index, 1024).write.parquet(at)
+    got = spark.read.format("tar").option("splits", at).option("tasks", 3).load()
+    one = spark.read.format("tar").option("splits", at).option("tasks", 1 << 30).load()
+    assert got.rdd.getNumPartitions() < 12 < one.rdd.getNumPartitions()
+    rows = lambda d: sorted((r["tar_path"], r["member_idx"], r["name"], bytes(r["content"] or b"")) for r in d.collect())
+    assert rows(got) == rows(one)
