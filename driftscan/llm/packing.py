@@ -15,7 +15,6 @@ import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +51,9 @@ _CUTTER = {
 
 def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places begin, begin + 1, … of each span, size of them, one span after another."""
-    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+    at = np.repeat((begin - np.cumsum(size) + size).astype(np.int32), size)
+    at += np.arange(len(at), dtype=np.int32)
+    return at
 
 
 def cut(x: np.ndarray, kinds: np.ndarray = _KINDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,10 +89,10 @@ class WordIds:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.cap_bytes = Tokenizer.from_file(path), cap_bytes
-        told = json.loads(Path(path).read_text())
-        self.kinds = _KINDS if (told["normalizer"], told["pre_tokenizer"]) == (_NORMALIZER, _CUTTER) else _WORDS
-        # what is cut already needs neither composition nor the pattern
-        self.plain = Tokenizer.from_file(path)
+        told = [x and json.loads(x.__getstate__()) for x in (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)]
+        self.kinds = _KINDS if told == [_NORMALIZER, _CUTTER] else _WORDS
+        # what is cut already needs neither composition nor the pattern; the model is the same object
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.normalizer = normalizers.Lowercase()
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.closing = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
