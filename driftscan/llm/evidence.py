@@ -18,6 +18,7 @@ import json
 import math
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,7 +114,9 @@ def _hashed(weights: dict[str, float]) -> tuple[int, Column]:
     n = 2 * len(weights)
     spark = SparkSession.active()
     slots: list[dict[str, float]] = [{} for _ in range(n)]
-    for r in spark.createDataFrame(list(weights.items()), "mark string, weight double").select("mark", "weight", _slot(F.col("mark"), n).alias("slot")).collect():
+    # an Arrow table stays on the driver; a list would go through Python workers, which then stay beside the executors' heaps
+    marks = pa.table({"mark": pa.array(weights.keys(), pa.string()), "weight": pa.array(weights.values(), pa.float64())})
+    for r in spark.createDataFrame(marks).select("mark", "weight", _slot(F.col("mark"), n).alias("slot")).collect():
         slots[r["slot"]][r["mark"]] = r["weight"]
     return n, F.from_json(F.lit(json.dumps(slots)), "array<map<string,double>>")
 

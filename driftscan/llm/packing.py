@@ -269,6 +269,8 @@ def pack(documents: DataFrame, tokenizer: str, size: int = 2048, open_windows: i
 
         part = TaskContext.get().partitionId()
         words, out, made, held = word_ids(tokenizer, table_bytes), [], 0, 0
+        # Arrow keeps what it has freed, and a worker goes on to the next task and stage with it
+        give_back = pa.default_memory_pool().release_unused
 
         def emit(window: Window, leftover=None) -> None:
             nonlocal made, held
@@ -287,10 +289,13 @@ def pack(documents: DataFrame, tokenizer: str, size: int = 2048, open_windows: i
                     yield _table(out)
                     out.clear()
                     held = 0
+                    give_back()
         for window in packer.open:
             emit(window, part // merge_partitions)
         if out:
             yield _table(out)
+        out.clear()
+        give_back()
 
     def merge(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         """Leftover windows, fullest first, topped up from the emptiest until one is left, which is cut into powers of two."""

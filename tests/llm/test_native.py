@@ -119,6 +119,17 @@ def test_every_telling_mark_counts(spark):
         assert r["odds"] == pytest.approx(m.base + sum(m.weights.get(x, 0.0) for x in r["words"]))
 
 
+def test_weights_become_a_table_without_a_job(spark):
+    m = evidence.NaiveBayes(0.25, {"a": 1.5, "it's \\ \"b\"": -2.0, "\x00c:1": 0.125, "\u00e9": 3.0})
+    sc = spark.sparkContext
+    sc.setJobGroup("weights", "log odds of a model")
+    odds = evidence.log_odds(m)
+    sc.setJobGroup("other", "")
+    assert list(sc.statusTracker().getJobIdsForGroup("weights")) == []  # a job would start Python workers on the executors
+    docs = spark.createDataFrame([(list(m.weights),), (["a", "none"],), ([],)], "words array<string>")
+    assert [r["odds"] for r in docs.select(odds.alias("odds")).collect()] == [0.25 + 1.5 - 2.0 + 0.125 + 3.0, 1.75, 0.25]
+
+
 def test_clean_documents_are_kept_in_every_language(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
