@@ -6,12 +6,15 @@ squares, so that the expected tokens of each domain match its target. With the
 gradient scaled by documents' tokens and each domain's error by its total, the
 step size is one; steps are accelerated by momentum. An iteration is one
 aggregation to a few numbers a domain, and a document's rate is a function of
-its posterior and of those numbers.
+its posterior and of those numbers. Documents with one posterior thus have one
+rate, and iterations read each distinct posterior once, with their tokens.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,14 +38,20 @@ def domain_posteriors(documents: DataFrame, models: dict[str, evidence.NaiveBaye
     return odds.select("row", "tokens", F.array(q * (1 - t), q * t, (1 - q) * (1 - t), (1 - q) * t).alias("p"))
 
 
+def token_sums(posteriors: DataFrame) -> DataFrame:
+    """p, each distinct one once, and tokens, the sum over its documents."""
+    return posteriors.groupBy("p").agg(F.sum("tokens").alias("tokens"))
+
+
 def _stepped(state: Column, steps: list[tuple[float, list[float]]], most: float | None) -> Column:
     """state (a struct of rate, ahead and moved) after further steps: each goes from ahead along its errors, projects, and looks ahead by its momentum."""
     if not steps:
         return state
-    table = F.expr("array(" + ", ".join(f"named_struct('m', {m!r}D, 'e', array({', '.join(f'{x!r}D' for x in e)}))" for m, e in steps) + ")")
+    n = len(steps[0][1])
+    table = F.expr("array(" + ", ".join(f"named_struct('m', {m!r}D, " + ", ".join(f"'e{k}', {x!r}D" for k, x in enumerate(e)) + ")" for m, e in steps) + ")")
 
     def step(s: Column, x: Column) -> Column:
-        moved = s["ahead"] - F.aggregate(F.zip_with("p", x["e"], lambda a, b: a * b), F.lit(0.0), lambda t, y: t + y)
+        moved = s["ahead"] - functools.reduce(operator.add, (F.col("p")[k] * x[f"e{k}"] for k in range(n)))
         moved = F.greatest(F.lit(0.0), moved) if most is None else F.greatest(F.lit(0.0), F.least(F.lit(float(most)), moved))
         # a lambda of its own: the projected rate stands in it twice
         return F.transform(F.array(moved), lambda r: F.struct(r.alias("rate"), (r + x["m"] * (r - s["rate"])).alias("ahead"), F.abs(r - s["rate"]).alias("moved")))[0]
@@ -111,14 +120,15 @@ def mix(documents: DataFrame, labels: DataFrame, weights: dict[str, float] | Non
     """
     models = fit_domains(documents, labels, max_labelled)
     post = materialize(domain_posteriors(documents, models, ["doc_id"]), "posteriors")
-    r = post.agg(*(F.sum(F.col("tokens") * F.col("p")[k]) for k in range(len(DOMAINS)))).first()
+    sums = materialize(token_sums(post), "sums")
+    r = sums.agg(*(F.sum(F.col("tokens") * F.col("p")[k]) for k in range(len(DOMAINS)))).first()
     have = [float(x or 0.0) for x in r]
     if weights is not None:
         share = sum(weights.values())
         targets = [sum(have) * weights.get(d, 0.0) / share for d in DOMAINS]
     else:
         targets = [h * (factors or {}).get(d, 1.0) for d, h in zip(DOMAINS, have, strict=True)]
-    steps, report = fit_rates(post, targets, most)
+    steps, report = fit_rates(sums, targets, most)
     rows = post if keep == ["doc_id"] else domain_posteriors(documents, models, keep)
     return rows.withColumn("rate", rate_after(steps, most)), report
 

@@ -198,6 +198,20 @@ def test_rates_against_least_squares_in_numpy(spark):
         assert (t * got) @ p == pytest.approx(report["reached"])
 
 
+def test_rates_are_fitted_on_distinct_posteriors(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    fit, read = mixing.fit_rates, []
+    monkeypatch.setattr(mixing, "fit_rates", lambda posteriors, *rest: read.append(posteriors) or fit(posteriors, *rest))
+    rated, report = mixing.mix(docs.unionByName(docs), labels, weights={"good": 0.7, "good_toxic": 0.0, "low": 0.3, "low_toxic": 0.0})
+    rows = rated.collect()
+    tokens = {}
+    for r in rows:
+        tokens[tuple(r["p"])] = tokens.get(tuple(r["p"]), 0) + r["tokens"]
+    got = [(tuple(r["p"]), r["tokens"]) for r in read[0].collect()]
+    assert len(got) == len(tokens) <= len(rows) / 2 and dict(got) == tokens
+    assert np.sum([np.array(r["p"]) * r["rate"] * r["tokens"] for r in rows], axis=0) == pytest.approx(report["reached"])
+
+
 def test_rates_above_one_make_copies(spark):
     rows = [(k, "x", [0.0, 0.5, 1.0, 1.5, 2.0, 3.25][k % 6]) for k in range(6000)]
     rated = spark.createDataFrame(rows, "doc_id bigint, text string, rate double").select(F.struct("doc_id", "text").alias("row"), "rate")
